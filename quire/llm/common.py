@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows that one (key, bucket) group of a distributed rank holds on average at most.
-ROWS_PER_BUCKET = 20_000
+ROWS_PER_BUCKET = 10_000
 
 
 def shared_dir(spark: SparkSession) -> str:

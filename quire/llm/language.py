@@ -151,14 +151,16 @@ def learn(labelled: DataFrame, sample: int = SAMPLE) -> dict | None:
 
 def identify(docs: DataFrame, model: dict | None, keep: list[str], text: str = "text") -> DataFrame:
     """The columns in keep, lang_pred and score for every row, by predict() over the whole text."""
+    source = text if text in keep else "_text"
     keep_schema = "".join(f"`{c}` {t}, " for c, t in docs.select(*keep).dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [predict(model, t.as_py()) for t in batch["_text"]]
+            found = [predict(model, t.as_py()) for t in batch[source]]
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in keep), pa.array([a for a, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())], names=[*keep, "lang_pred", "score"])
 
-    return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(run, keep_schema + "lang_pred string, score double")
+    read = [] if text in keep else [F.col(text).alias("_text")]
+    return docs.select(*keep, *read).mapInArrow(run, keep_schema + "lang_pred string, score double")
 
 
 def held_out(doc_id: Column, folds: int = 5) -> Column:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import gif, language, mixing, packing, quality, sharding, url_rules
+from quire.llm import gif, language, licenses, mixing, packing, quality, sharding, simhash, suffix, url_rules
 
 SHARDS = 24
 
@@ -21,6 +21,10 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(table(spark, sf_dir, "documents"))
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.label(table(spark, sf_dir, "documents"))
 
@@ -45,11 +49,19 @@ def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages"), rules, path_lengths=sorted({len(r[2]) for r in url_rules.RULES}))
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents")).drop("host")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_pack, op3_language, op4_shards, op5_mix, op6_gif, op7_urls, op9_quality)}
+def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.dedup(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_pack, op2_simhash, op3_language, op4_shards, op5_mix, op6_gif, op7_urls, op8_licenses, op9_quality, op10_suffix)}
 
 OP7 = r"""
 WITH parsed AS (
