@@ -27,6 +27,8 @@ SHINGLE, SEED, RADIUS, BLOCKS = 4, 42, 4, 4
 SAMPLE = 1 << 16
 #: Fingerprints of its own that a shard is planned for, and the most that one task compares at once.
 SHARD_ROWS, TASK_ROWS = 2048, 32_768
+#: Distances that one task holds at once.
+CELLS = 1 << 20
 #: Shingles whose bits are counted at once.
 PIECE = 1 << 14
 
@@ -115,14 +117,22 @@ def visits(tree: tuple | None, mask: int, radius: int, fps: np.ndarray) -> tuple
     return np.concatenate(rows), np.concatenate(leaves), np.concatenate(homes)
 
 
-def forest(fps: np.ndarray, home: np.ndarray, radius: int, rows: int = 256) -> np.ndarray:
-    """For each fingerprint, the index of the first one that it reaches by links of which one end is at home."""
+def forest(fps: np.ndarray, home: np.ndarray, radius: int, cells: int = CELLS) -> np.ndarray:
+    """For each fingerprint, the index of the first one that it reaches by links of which one end is at home.
+
+    At most `cells` distances are held at once; in a dense family, pairs already joined are left out
+    before their places are listed.
+    """
     n = len(fps)
-    label = np.arange(n)
+    label = np.arange(n, dtype=np.int32)
     own = np.flatnonzero(home)
+    rows = max(1, cells // max(1, n))
     for at in range(0, len(own), rows):
         block = own[at : at + rows]
-        a, b = np.nonzero(np.bitwise_count(fps[block][:, None] ^ fps[None, :]) <= radius)
+        near = np.bitwise_count(fps[block][:, None] ^ fps[None, :]) <= radius
+        if np.count_nonzero(near) > 4 * len(block):
+            near &= label[block][:, None] != label[None, :]
+        a, b = np.nonzero(near)
         a = block[a]
         while True:
             la, lb = label[a], label[b]
