@@ -243,7 +243,8 @@ def one_each(docs: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> Dat
     marked = stored(fingerprints(docs, ["doc_id"]))
     stays = stored(marked.join(grouped(marked, radius, blocks), "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id", "fp").agg(F.count(F.lit(1)).alias("n")))
     ids = stays.select(F.col("doc_id").alias("_id"))
-    kept = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    # the ids grow with the corpus, so they are never broadcast
+    kept = docs.join(ids.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
     rows = stays.agg(F.count(F.lit(1)).alias("ids"), F.sum("n").alias("rows"), F.countDistinct(F.coalesce("doc_id", F.lit(-1)), F.col("doc_id").isNull()).alias("different")).first()
     if rows["ids"] == rows["rows"] == rows["different"]:
         return kept
