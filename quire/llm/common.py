@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -35,6 +39,18 @@ def forget(df: DataFrame) -> None:
         p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def sliced(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 24) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most `most` bytes of a binary column (a longer value alone), which bounds a task's memory."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < batch.num_rows:
+            before = ends[at - 1] if at else 0
+            stop = max(at + 1, int(np.searchsorted(ends, before + most, "right")))
+            yield batch.slice(at, stop - at)
+            at = stop
+
+
 def buckets_for(rows: int) -> int:
     return max(1, -(-rows // ROWS_PER_BUCKET))
 

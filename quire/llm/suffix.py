@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import stored
+from quire.llm.common import forget, sliced, stored
 
 LENGTH, GRAM = 100, 32
 #: Windows that one pass over a batch's bytes reads; their positions take POSITION_BITS of a key.
@@ -28,7 +28,7 @@ CHUNK, POSITION_BITS = 1 << 18, 20
 #: Segments that a bucket is planned for.
 BUCKET_ROWS = 500_000
 #: Bytes whose suffixes are sorted at once; a larger family of segments with one key is sorted alone.
-SORTED_BYTES = 1 << 21
+SORTED_BYTES = 1 << 20
 POSITION = np.uint64((1 << POSITION_BITS) - 1)
 ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
 SPANS = "doc long, tie long, start long, length long"
@@ -128,7 +128,7 @@ def hashed(docs: DataFrame, buckets: int, length: int, gram: int) -> DataFrame:
     names = ["bucket", *PACKED]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, "_text"):
             raw, offsets = text_column(batch, "_text")
             if len(raw) < length:
                 continue
@@ -380,6 +380,7 @@ def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bucket_rows:
     buckets = max(1, -(-2 * size // ((length - gram + 2) * bucket_rows)))
     packed = stored(hashed(texts, buckets, length, gram))
     found = stored(settle(packed, length).unionByName(settled_in_batches(packed)))
+    forget(packed)
     more = compared(parts(texts, found, buckets, length, gram), length)
     gone = found.where("not need").select("doc", "tie", "start", "length").unionByName(more)
     return gone.groupBy("doc", "tie").agg(F.collect_list(F.struct("start", "length")).alias("gone"))
