@@ -74,4 +74,33 @@ FROM parsed p LEFT JOIN rules r ON (host = rhost OR ends_with(host, '.' || rhost
 QUALIFY row_number() OVER (PARTITION BY n ORDER BY length(rhost || rpath) DESC) = 1
 """
 
-ORACLE_SQL: dict[str, str] = {"op5_mix": mixing.oracle(), "op7_urls": OP7}
+OP9 = r"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
+ws AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
+win AS (SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS k FROM ws WHERE len(w) >= 3),
+twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, k) AS c FROM win) WHERE c >= 2),
+rep AS (SELECT doc_id, count(DISTINCT i + x) AS n FROM twice, (VALUES (0), (1), (2)) v(x) GROUP BY doc_id),
+stats AS (SELECT doc_id, source, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+    (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words
+  FROM ws LEFT JOIN rep USING (doc_id)),
+failed AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM stats),
+hosts AS (SELECT source, count(*) AS n, sum(base_failed::INT) AS k FROM failed GROUP BY source),
+prior AS (SELECT m, CASE WHEN v > 0 AND m * (1 - m) > v THEN m * (1 - m) / v - 1 ELSE r END AS weight FROM (SELECT avg(k / n) AS m, var_samp(k / n) AS v, sum(n) AS r FROM hosts)),
+verdicts AS (SELECT source, (k + m * weight) / (n + weight) > 0.8 AS host_failed FROM hosts, prior)
+SELECT f.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT host_failed AS kept
+FROM failed f JOIN verdicts v ON f.source IS NOT DISTINCT FROM v.source
+"""
+
+OP10 = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, hex(encode(coalesce(text, ''))) AS h FROM documents),
+win AS (SELECT doc_id, unnest(range(0, len(h) // 2 - 99)) AS s, unnest(list_transform(range(0, len(h) // 2 - 99), lambda i: md5(substr(h, 2 * i + 1, 200)))) AS k FROM d WHERE len(h) >= 200),
+later AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) AS r FROM win) WHERE r > 1),
+runs AS (SELECT doc_id, s, sum(c) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM (SELECT doc_id, s, (coalesce(s - lag(s) OVER (PARTITION BY doc_id ORDER BY s) > 100, true))::INT AS c FROM later)),
+spans AS (SELECT doc_id, min(s) AS a, max(s) + 100 AS b FROM runs GROUP BY doc_id, run),
+cuts AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM spans),
+kept AS (SELECT doc_id, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans, string_agg(substr(h, (2 * before + 1)::BIGINT, (2 * (a - before))::BIGINT), '' ORDER BY a) || substr(any_value(h), (2 * max(b) + 1)::BIGINT) AS rest FROM cuts JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(rest, h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op5_mix": mixing.oracle(), "op7_urls": OP7, "op9_quality": OP9, "op10_suffix": OP10}
