@@ -33,15 +33,23 @@ LATIN_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-
 UNSURE = re.compile(r"[^\x00-\x1b\x20-\x84\x86-\xff]")
 
 
+def byte_letters() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary: its own if it is visible, else the next from U+0100."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in visible]
+    return [chr(b) if b in visible else chr(256 + hidden.index(b)) for b in range(256)]
+
+
 class WordIds(dict):
-    """Word -> its ids as little-endian unsigned 32-bit bytes; asks the tokenizer once a word."""
+    """Word -> its ids as little-endian unsigned 32-bit bytes; asks the vocabulary's model once a word."""
 
     def __init__(self, tokenizer):
         super().__init__()
-        self.tokenizer = tokenizer
+        self.model = tokenizer.model
+        self.letters = byte_letters()
 
     def __missing__(self, word: str) -> bytes:
-        ids = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        ids = array("I", [t.id for t in self.model.tokenize("".join(map(self.letters.__getitem__, word.encode())))]).tobytes()
         if len(self) >= CACHED_WORDS:
             self.clear()
         self[word] = ids
