@@ -7,6 +7,11 @@ block's radius, if the radii plus one add up to R + 1. Each block has a vantage-
 splits by the distance to its vantage point, and a triangle bound sends a query into one child or, near
 the boundary, into both. The leaves are shards. A shard compares its own fingerprints with each other
 and with those that visit it from across a boundary, on all 64 bits, and reports links as a forest.
+
+near_groups() links 64-bit fingerprints at 4 bits, exactly. one_each() finds near copies by similarity:
+at a Jaccard similarity of 0.8, about 10 of 64 bits differ, far too many for the pigeonhole, so it takes
+WIDE_WORDS x 64 bits of distinct five-word shingles and WIDE_BLOCKS trees, of which one block suffices to
+agree. Links found so are then confirmed on the shingles themselves.
 """
 
 from __future__ import annotations
@@ -20,13 +25,20 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import forget, stored
+from quire.llm.common import buckets_for, forget, stored
 
 SHINGLE, SEED, RADIUS, BLOCKS = 4, 42, 4, 4
 #: Fingerprints that the driver draws to place vantage points, at most.
 SAMPLE = 1 << 16
 #: Fingerprints of its own that a shard is planned for, and the most that one task compares at once.
 SHARD_ROWS, TASK_ROWS = 2048, 32_768
+#: The wide fingerprint of near copies: words of a shingle, 64-bit words, blocks and their bits.
+WIDE_SHINGLE, WIDE_WORDS, WIDE_BLOCKS, WIDE_BITS = 5, 8, 32, 12
+SIMILARITY = 0.8
+#: Fingerprints that a shard of a wide block is planned for: it sorts them by the block and compares only equals.
+WIDE_SHARD_ROWS = 8192
+#: Rows of one component that a task confirms at once.
+CONFIRM_ROWS = 1024
 #: Distances that one task holds at once.
 CELLS = 1 << 20
 #: Shingles whose bits are counted at once.
@@ -117,6 +129,20 @@ def visits(tree: tuple | None, mask: int, radius: int, fps: np.ndarray) -> tuple
     return np.concatenate(rows), np.concatenate(leaves), np.concatenate(homes)
 
 
+def join_up(label: np.ndarray, a: np.ndarray, b: np.ndarray, block: np.ndarray) -> None:
+    """Brings the labels of linked pairs (block[a], b) to the smaller one."""
+    a = block[a]
+    while True:
+        la, lb = label[a], label[b]
+        differ = la != lb
+        if not differ.any():
+            return
+        a, b, la, lb = a[differ], b[differ], la[differ], lb[differ]
+        np.minimum.at(label, np.maximum(la, lb), np.minimum(la, lb))
+        while (label[label] != label).any():
+            label[:] = label[label]
+
+
 def forest(fps: np.ndarray, home: np.ndarray, radius: int, cells: int = CELLS) -> np.ndarray:
     """For each fingerprint, the index of the first one that it reaches by links of which one end is at home.
 
@@ -132,27 +158,27 @@ def forest(fps: np.ndarray, home: np.ndarray, radius: int, cells: int = CELLS) -
         near = np.bitwise_count(fps[block][:, None] ^ fps[None, :]) <= radius
         if np.count_nonzero(near) > 4 * len(block):
             near &= label[block][:, None] != label[None, :]
-        a, b = np.nonzero(near)
-        a = block[a]
-        while True:
-            la, lb = label[a], label[b]
-            differ = la != lb
-            if not differ.any():
-                break
-            a, b, la, lb = a[differ], b[differ], la[differ], lb[differ]
-            np.minimum.at(label, np.maximum(la, lb), np.minimum(la, lb))
-            while (label[label] != label).any():
-                label = label[label]
+        join_up(label, *np.nonzero(near), block)
     return label
 
 
+def in_parts(rows: DataFrame, keys: list[str], task_rows: int) -> DataFrame:
+    """rows with the task (i, j) of each: (0, 0), or in a group of over task_rows, its part with each part."""
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > task_rows)
+    many = stored(sizes.select(*keys, F.ceil(2 * F.col("n") / task_rows).cast("int").alias("parts")))
+    if many.isEmpty():
+        return rows.withColumn("i", F.lit(0)).withColumn("j", F.lit(0))
+    parts = F.coalesce("parts", F.lit(1))
+    rows = rows.join(many, keys, "left").withColumn("own", F.pmod(F.xxhash64("fp"), parts).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    return rows.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).drop("parts", "own", "other")
+
+
 def links(nodes: DataFrame, rows: int, radius: int = RADIUS, blocks: int = BLOCKS, shard_rows: int = SHARD_ROWS, task_rows: int = TASK_ROWS) -> DataFrame:
     """(a, b): links that join up all of nodes' distinct fp at distance radius or less, as each shard's forest.
 
     A shard that holds more than task_rows (one family of near copies may fill it) is dealt into parts,
     and its tasks compare each part with itself and each other part, so none holds more and none is left out.
     """
-    spark = nodes.sparkSession
     share = min(1.0, 0.8 * SAMPLE / max(1, rows))
     drawn = [r["fp"] for r in nodes.where(F.pmod(F.xxhash64("fp"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)))).select("fp").limit(SAMPLE).collect()]
     sample = np.sort(np.array(drawn, np.int64)).view(np.uint64)
@@ -168,15 +194,7 @@ def links(nodes: DataFrame, rows: int, radius: int = RADIUS, blocks: int = BLOCK
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), t, np.int32)), pa.array(leaf), pa.array(fps[at].view(np.int64)), pa.array(home)], names=["tree", "leaf", "fp", "home"])
 
     visited = nodes.select("fp").mapInArrow(assign, "tree int, leaf int, fp long, home boolean")
-    sizes = visited.groupBy("tree", "leaf").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > task_rows).collect()
-    parts = {(s["tree"], s["leaf"]): -(-2 * s["n"] // task_rows) for s in sizes}
-    if parts:  # at most as many as the trees have leaves, which SAMPLE bounds
-        many = F.broadcast(spark.createDataFrame([(*k, v) for k, v in parts.items()], "tree int, leaf int, parts int"))
-        visited = visited.join(many, ["tree", "leaf"], "left").withColumn("own", F.pmod(F.xxhash64("fp"), F.coalesce("parts", F.lit(1))).cast("int"))
-        visited = visited.withColumn("other", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)))
-        visited = visited.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).drop("parts", "own", "other")
-    else:
-        visited = visited.withColumn("i", F.lit(0)).withColumn("j", F.lit(0))
+    visited = in_parts(visited, ["tree", "leaf"], task_rows)
 
     def compare(shard: pa.Table) -> pa.Table:
         order = np.argsort(shard["fp"].to_numpy())
@@ -211,15 +229,211 @@ def components(edges: DataFrame) -> DataFrame:
         seen = mark
 
 
-def grouped(marked: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
-    """fp and component_id (smallest doc_id of all that fp reaches) for each distinct fp of marked(doc_id, fp)."""
-    nodes = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    roots = components(links(nodes, nodes.count(), radius, blocks))
+def grouped(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """fp and component_id (smallest doc_id of all that fp reaches) for each row of nodes(fp, first)."""
+    roots = components(edges)
     rooted = stored(nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root")))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     return rooted.join(least, "root").select("fp", "component_id")
 
 
+def lanes() -> np.ndarray:
+    """For each byte, its bits as eight bytes of a 64-bit number: sums of up to 255 of them count each bit."""
+    bits = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little")
+    return np.ascontiguousarray(bits).view(np.uint64)[:, 0]
+
+
+LANES = lanes()
+MIX = [np.uint64((0x9E3779B97F4A7C15 * (2 * i + 1)) % (1 << 64)) for i in range(WIDE_WORDS)]
+
+
+def shingle_hashes(text: bytes, shingle: int = WIDE_SHINGLE, seed: int = SEED) -> np.ndarray:
+    """Sorted distinct hashes of a text's word shingles; of the whole sequence if words are fewer; none without words."""
+    words = text.lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    line = b" ".join(words)
+    n = max(1, len(words) - shingle + 1)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+    digest = xxhash.xxh64_digest
+    stops = (ends[min(shingle, len(words)) - 1 :] - 1).tolist()
+    starts = [0, *ends[: n - 1].tolist()]
+    return np.unique(np.frombuffer(b"".join([digest(line[a:b], seed) for a, b in zip(starts, stops, strict=True)]), np.uint64))
+
+
+def wide_fingerprint(h: np.ndarray) -> bytes:
+    """WIDE_WORDS x 64 bits over distinct shingle hashes; zero without any."""
+    ones = np.zeros((8 * WIDE_WORDS, 8), np.int64)
+    for at in range(0, len(h), 255):
+        part = h[at : at + 255]
+        spread = np.empty((len(part), WIDE_WORDS), np.uint64)
+        for i, odd in enumerate(MIX):
+            x = (part ^ odd) * MIX[0]
+            x ^= x >> np.uint64(32)
+            x *= MIX[1]
+            spread[:, i] = x ^ (x >> np.uint64(29))
+        ones += LANES[spread.view(np.uint8)].sum(axis=0).view(np.uint8).reshape(-1, 8)
+    return np.packbits(2 * ones > len(h), axis=1, bitorder="little").tobytes()
+
+
+def wide_id(wide: bytes) -> int:
+    h = xxhash.xxh3_64_intdigest(wide)
+    return h - (h >> 63 << 64)
+
+
+def wide_fingerprints(docs: DataFrame, keep: list[str], name: str = "fp") -> DataFrame:
+    """The columns in keep, `name` (a hash of the wide fingerprint) and wide (its bytes) of every whole text."""
+    schema = "".join(f"`{c}` {t}, " for c, t in docs.select(*keep).dtypes) + f"{name} long, wide binary"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            wide = [wide_fingerprint(shingle_hashes(x.as_buffer().to_pybytes() if x.is_valid else b"")) for x in batch["_text"]]
+            ids = np.array([wide_id(w) for w in wide], np.int64)
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in keep), pa.array(ids), pa.array(wide, pa.binary())], names=[*keep, name, "wide"])
+
+    return docs.select(*keep, F.col("text").cast("binary").alias("_text")).mapInArrow(run, schema)
+
+
+def wide_radius(similarity: float) -> int:
+    """Differing bits of a pair at this Jaccard similarity, and two standard deviations more."""
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    bits = 64 * WIDE_WORDS
+    return round(bits * share + 2 * math.sqrt(bits * share * (1 - share)))
+
+
+def wide_forest(fps: np.ndarray, radius: int, cells: int = CELLS) -> np.ndarray:
+    """forest() of rows of words."""
+    n = len(fps)
+    label = np.arange(n, dtype=np.int32)
+    rows = max(1, cells // (n * fps.shape[1]))
+    for at in range(0, n, rows):
+        block = np.arange(at, min(n, at + rows))
+        near = np.bitwise_count(fps[block][:, None, :] ^ fps[None, :, :]).sum(axis=2, dtype=np.uint16) <= radius
+        near &= label[block][:, None] != label[None, :]
+        join_up(label, *np.nonzero(near), block)
+    return label
+
+
+def wide_links(nodes: DataFrame, rows: int, similarity: float = SIMILARITY, shard_rows: int = WIDE_SHARD_ROWS, task_rows: int = TASK_ROWS) -> DataFrame:
+    """(a, b): links between nodes(fp, wide) whose wide fingerprints are within wide_radius(), as each shard's forest.
+
+    A tree for each block of WIDE_BITS bits, with radius 0. Of a pair at the similarity, a block agrees
+    with probability 0.138, so one of 32 does with 0.991; of a pair at 0.9, with more than 0.9999.
+    """
+    per_word = 64 // WIDE_BITS
+    blocks = [(b // per_word, ((1 << WIDE_BITS) - 1) << (WIDE_BITS * (b % per_word))) for b in range(WIDE_BLOCKS)]
+    radius = wide_radius(similarity)
+    share = min(1.0, 0.8 * SAMPLE / 8 / max(1, rows))
+    drawn = [bytes(r["wide"]) for r in nodes.where(F.pmod(F.xxhash64("fp"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)))).select("wide").limit(SAMPLE // 8).collect()]
+    sample = np.frombuffer(b"".join(sorted(drawn)), np.uint64).reshape(-1, WIDE_WORDS)
+    depth = max(0, min(math.ceil(math.log2(max(1, rows) / shard_rows)), int(math.log2(max(1, len(sample)))) - 3))
+    grown = [grow(sample[:, w], m, depth, np.random.default_rng(t)) for t, (w, m) in enumerate(blocks)]
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps = np.frombuffer(b"".join(batch["wide"].to_pylist()), np.uint64).reshape(-1, WIDE_WORDS)
+            for t, ((w, m), tree) in enumerate(zip(blocks, grown, strict=True)):
+                at, leaf, _ = visits(tree, m, 0, np.ascontiguousarray(fps[:, w]))
+                take = pa.array(at)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), t, np.int32)), pa.array(leaf), batch["fp"].take(take), batch["wide"].take(take)], names=["tree", "leaf", "fp", "wide"])
+
+    visited = in_parts(nodes.select("fp", "wide").mapInArrow(assign, "tree int, leaf int, fp long, wide binary"), ["tree", "leaf"], task_rows)
+
+    def compare(shard: pa.Table) -> pa.Table:
+        w, m = blocks[shard["tree"][0].as_py()]
+        fps = np.frombuffer(b"".join(shard["wide"].to_pylist()), np.uint64).reshape(-1, WIDE_WORDS)
+        ids, value = shard["fp"].to_numpy(), fps[:, w] & np.uint64(m)
+        order = np.argsort(value, kind="stable")
+        edges = np.append(np.flatnonzero(np.append(True, value[order][1:] != value[order][:-1])), len(order))
+        a, b = [], []
+        for x, y in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            if y - x > 1:
+                run = order[x:y]
+                label = wide_forest(fps[run], radius)
+                moved = np.flatnonzero(label != np.arange(len(run)))
+                a.append(ids[run[moved]])
+                b.append(ids[run[label[moved]]])
+        none = np.zeros(0, np.int64)
+        return pa.table({"a": np.concatenate([none, *a]), "b": np.concatenate([none, *b])})
+
+    return visited.groupBy("tree", "leaf", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+
+
+def alike(wide: np.ndarray, sets: list[np.ndarray], radius: int, similarity: float) -> np.ndarray:
+    """For each row, the first that it reaches by pairs whose shingles have this Jaccard similarity or more.
+
+    Pairs are tried by differing bits, nearest first, and those already joined are passed over: a family
+    of copies of one text takes about as many trials as it has rows.
+    """
+    n = len(sets)
+    label = np.arange(n, dtype=np.int32)
+    rows = max(1, CELLS // (n * wide.shape[1]))
+    for at in range(0, n, rows):
+        d = np.bitwise_count(wide[at : at + rows, None, :] ^ wide[None, :, :]).sum(axis=2, dtype=np.uint16)
+        a, b = np.nonzero(d <= radius)
+        ahead = b > a + at
+        a, b = a[ahead], b[ahead]
+        order = np.argsort(d[a, b], kind="stable")
+        for x, y in zip((a[order] + at).tolist(), b[order].tolist(), strict=True):
+            if label[x] != label[y] and jaccard(sets[x], sets[y]) >= similarity:
+                low, high = sorted((label[x], label[y]))
+                label[label == high] = low
+    return label
+
+
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    if not len(a) and not len(b):
+        return 1.0
+    if min(len(a), len(b)) < 0.5 * max(len(a), len(b)):
+        return 0.0  # below any similarity that is asked for
+    both = len(a) + len(b) - len(np.union1d(a, b))
+    return both / (len(a) + len(b) - both)
+
+
+def confirmed(docs: DataFrame, nodes: DataFrame, edges: DataFrame, similarity: float, task_rows: int = CONFIRM_ROWS) -> DataFrame:
+    """(a, b): links within the components of edges that hold on the shingles of the texts themselves.
+
+    Only members of a component meet, and a component of over task_rows is compared part by part.
+    """
+    roots = components(edges)
+    members = stored(roots.select(F.col("node").alias("fp"), "root").unionByName(roots.select(F.col("root").alias("fp"), "root").distinct()).join(nodes.select("fp", "first"), "fp"))
+    buckets = buckets_for(20 * members.count())
+    texts = docs.select("doc_id", F.col("text").cast("binary").alias("_text")).join(members.withColumnRenamed("first", "_first").hint("merge"), F.col("doc_id").eqNullSafe(F.col("_first")))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cols: list[list] = [[], [], [], []]
+            for fp, root, text in zip(batch["fp"].to_pylist(), batch["root"].to_pylist(), batch["_text"], strict=True):
+                hashes = shingle_hashes(text.as_buffer().to_pybytes() if text.is_valid else b"")
+                wide = wide_fingerprint(hashes)
+                if wide_id(wide) == fp:  # else another text under the same doc_id
+                    for c, v in zip(cols, (fp, root, wide, hashes.tobytes()), strict=True):
+                        c.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["fp", "root", "wide", "hashes"])
+
+    rows = stored(texts.select("fp", "root", "_text").mapInArrow(read, "fp long, root long, wide binary, hashes binary"))
+    # large components have tasks of their own, the others share buckets
+    dealt = in_parts(rows, ["root"], task_rows).withColumn("bucket", F.pmod(F.xxhash64("root"), F.lit(buckets)).cast("int"))
+    radius = wide_radius(similarity)
+
+    def compare(group: pa.Table) -> pa.Table:
+        root, ids = group["root"].to_numpy(), group["fp"].to_numpy()
+        wide = np.frombuffer(b"".join(group["wide"].to_pylist()), np.uint64).reshape(-1, WIDE_WORDS)
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in group["hashes"]]
+        order = np.argsort(root, kind="stable")
+        edges = np.append(np.flatnonzero(np.append(True, root[order][1:] != root[order][:-1])), len(order))
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for x, y in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            run = order[x:y]
+            label = alike(wide[run], [sets[i] for i in run.tolist()], radius, similarity)
+            moved = np.flatnonzero(label != np.arange(len(run)))
+            a.append(ids[run[moved]])
+            b.append(ids[run[label[moved]]])
+        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
+
+    return dealt.groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+
+
 def hex_of(fp: str) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
@@ -232,16 +446,23 @@ def near_groups(docs: DataFrame) -> DataFrame:
     they come; an empty table gives no rows; other columns are not read.
     """
     marked = stored(fingerprints(docs, ["doc_id"]))
-    return marked.join(grouped(marked), "fp").select("doc_id", hex_of("fp").alias("fingerprint"), "component_id")
+    nodes = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    return marked.join(grouped(nodes, links(nodes, nodes.count())), "fp").select("doc_id", hex_of("fp").alias("fingerprint"), "component_id")
 
 
-def one_each(docs: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
+def one_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of docs without near copies: of each component, the row with the smallest doc_id.
 
-    Of rows that repeat it, one stays; a component of null ids alone keeps one row too.
+    Near copies are texts whose distinct five-word shingles have this Jaccard similarity or more; pairs are
+    found by wide fingerprints (see wide_links() for the recall) and confirmed on the shingles. Of rows that repeat a doc_id and a text, one stays; a component of null ids alone keeps one row too.
     """
-    marked = stored(fingerprints(docs, ["doc_id"]))
-    stays = stored(marked.join(grouped(marked, radius, blocks), "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id", "fp").agg(F.count(F.lit(1)).alias("n")))
+    marked = stored(wide_fingerprints(docs, ["doc_id"]))
+    nodes = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first"), F.first("wide").alias("wide")))
+    links_of = confirmed(docs, nodes, wide_links(nodes, nodes.count(), similarity), similarity)
+    components_of = grouped(nodes.select("fp", "first"), links_of)
+    stays = stored(marked.select("doc_id", "fp").join(components_of, "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id", "fp").agg(F.count(F.lit(1)).alias("n")))
+    forget(marked)
+    forget(nodes)
     ids = stays.select(F.col("doc_id").alias("_id"))
     # the ids grow with the corpus, so they are never broadcast
     kept = docs.join(ids.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
@@ -249,6 +470,6 @@ def one_each(docs: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> Dat
     if rows["ids"] == rows["rows"] == rows["different"]:
         return kept
     places = stays.select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"))
-    marked = fingerprints(kept, docs.columns, name="_simhash")
-    rows = marked.join(places, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_simhash") == F.col("_fp")), "left_semi")
-    return rows.dropDuplicates(["doc_id", "_simhash"]).select(*docs.columns)
+    again = wide_fingerprints(kept.withColumnsRenamed({c: f"_c{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}), [f"_c{i}" if c not in ("doc_id", "text") else c for i, c in enumerate(docs.columns)], name="_simhash")
+    rows = again.join(places, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_simhash") == F.col("_fp")), "left_semi").dropDuplicates(["doc_id", "_simhash"])
+    return rows.select(*(F.col(f"_c{i}" if c not in ("doc_id", "text") else c).alias(c) for i, c in enumerate(docs.columns)))

@@ -4,6 +4,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from quire.llm import simhash
 from tests.llm.data import documents, empty, texts
@@ -119,15 +120,85 @@ def test_near_groups(spark):
     assert simhash.near_groups(empty(spark)).collect() == []
 
 
+def shingles(text):
+    words = (text or "").lower().split()
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)} or {tuple(words)}
+
+
+def jaccard(a, b):
+    a, b = shingles(a), shingles(b)
+    return len(a & b) / len(a | b)
+
+
+def brute_wide(text):
+    words = (text or "").encode().lower().split()
+    if not words:
+        return bytes(64)
+    hashes = {int.from_bytes(xxhash.xxh64_digest(b" ".join(words[i : i + 5]), 42), "little") for i in range(max(1, len(words) - 4))}
+    cut, out = (1 << 64) - 1, b""
+    for i in range(8):
+        spread = []
+        for h in hashes:
+            x = (h ^ int(simhash.MIX[i])) * int(simhash.MIX[0]) & cut
+            x = (x ^ x >> 32) * int(simhash.MIX[1]) & cut
+            spread.append(x ^ x >> 29)
+        out += sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in spread) > len(spread)).to_bytes(8, "little")
+    return out
+
+
+def test_wide_fingerprints():
+    rng = random.Random(2)
+    for t in [*texts(40), "a b c", " ".join(str(rng.random()) for _ in range(1500))]:
+        assert simhash.wide_fingerprint(simhash.shingle_hashes((t or "").encode())) == brute_wide(t)
+
+
+def edited(rng, text, share):
+    words = text.split()
+    for i in rng.sample(range(len(words)), max(1, round(share * len(words)))):
+        words[i] = f"new{rng.randint(0, 10**6)}"
+    return " ".join(words)
+
+
+@pytest.mark.parametrize("seed,task_rows", [(1, 32_768), (2, 60)])
+def test_near_copies_by_jaccard(spark, seed, task_rows):
+    """Components are those of all pairs at 0.8 or more."""
+    rng = random.Random(seed)
+    base = [" ".join(f"w{rng.randint(0, 3000)}" for _ in range(rng.choice([60, 150, 500]))) for _ in range(60)]
+    rows = list(enumerate(base + [edited(rng, t, 0.012) for t in base[:40]] + [edited(rng, t, 0.15) for t in base[40:]] + base[:5]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marked = simhash.wide_fingerprints(docs, ["doc_id"])
+    nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("first"), F.first("wide").alias("wide"))
+    edges = simhash.confirmed(docs, nodes, simhash.wide_links(nodes, 105, shard_rows=16, task_rows=task_rows), 0.8, 1024 if task_rows > 1024 else 2)
+    got = {r["fp"]: r["component_id"] for r in simhash.grouped(nodes.select("fp", "first"), edges).collect()}
+    component = {r["doc_id"]: got[r["fp"]] for r in marked.collect()}
+    want = list(range(len(rows)))
+    for i, a in rows:
+        for j, b in rows[:i]:
+            if jaccard(a, b) >= 0.8:
+                want = [want[j] if w == want[i] else w for w in want]
+    assert [component[i] for i, _ in rows] == [min(j for j in range(len(rows)) if want[j] == w) for w in want]
+    assert len(set(want)) == 80
+
+
+def test_family_of_copies_takes_few_trials(monkeypatch):
+    rng = random.Random(3)
+    text = " ".join(f"w{i}" for i in range(400))
+    copies = [edited(rng, text, 0.004).encode() for _ in range(300)]
+    tried = []
+    monkeypatch.setattr(simhash, "jaccard", lambda a, b, real=simhash.jaccard: tried.append(1) or real(a, b))
+    sets = [simhash.shingle_hashes(c) for c in copies]
+    wide = np.frombuffer(b"".join(map(simhash.wide_fingerprint, sets)), np.uint64).reshape(-1, 8)
+    assert (simhash.alike(wide, sets, simhash.wide_radius(0.8), 0.8) == 0).all() and len(tried) < 600
+
+
 def test_one_each(spark):
-    rows, docs = documents(spark, 60)
-    docs = docs.withColumnRenamed("host", "fp")
+    rng = random.Random(5)
+    base = [" ".join(f"w{rng.randint(0, 3000)}" for _ in range(300)) for _ in range(30)]
+    rows = list(enumerate(base + [edited(rng, t, 0.01) for t in base[:20]] + base[10:15]))
+    docs = spark.createDataFrame([(*r, 1, "x") for r in rows + rows[25:27]], "doc_id long, text string, fp int, wide string")
     kept = simhash.one_each(docs)
-    assert kept.columns == docs.columns
-    groups = {r["doc_id"]: r["component_id"] for r in simhash.near_groups(docs).collect()}
-    ids = [r["doc_id"] for r in kept.collect()]
-    assert sorted(x for x in ids if x is not None) == sorted({g for g in groups.values() if g is not None})
-    assert len(ids) == len(set(ids))
+    assert kept.schema == docs.schema
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(30))
     nulls = spark.createDataFrame([(None, "a b c"), (None, "a b c"), (None, "x y z")], "doc_id long, text string")
     assert sorted(r["text"] for r in simhash.one_each(nulls).collect()) == ["a b c", "x y z"]
     assert simhash.one_each(empty(spark)).collect() == []
