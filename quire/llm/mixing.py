@@ -100,7 +100,7 @@ def cuts(counted: DataFrame, weights: dict, budget_percent: int, max_epochs: int
     """
     supply = counted.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("supply"))
     plan = stored(budgets(supply, weights, budget_percent, max_epochs).where("supply > 0").withColumn("full", F.expr("budget div supply")).withColumn("rest", F.expr("budget % supply")))
-    ranges = buckets_for(counted.count())
+    ranges = 8 * buckets_for(counted.count())
     rows = counted.where("n_tokens > 0").join(plan.where("rest > 0"), LEVELS).withColumn("key", order_key(F.col("full") + 1, seed))
     rows = rows.withColumn("range", F.floor(F.conv(F.substring("key", 1, 8), 16, 10).cast("long") * ranges / (1 << 32)).cast("int"))
     by_range = rows.groupBy(*LEVELS, "range", "rest").agg(F.sum("n_tokens").alias("n"))
