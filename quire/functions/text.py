@@ -168,3 +168,42 @@ def normalise_url(url: Column) -> Column:
     """http as https, without white space, fragment and final slash."""
     u = F.regexp_replace(F.trim(url), r"^http://", "https://")
     return F.regexp_replace(F.regexp_replace(u, "#.*$", ""), "/+$", "")
+
+
+def article_numbers(text: Column) -> Column:
+    """Numbers of articles in order of appearance, as strings: `article 7`, `arts. 2, 3 and 14 (1)`; paragraphs in brackets are dropped."""
+    lists = F.regexp_extract_all(text, F.lit(r"(?i)\bart(?:icle)?s?\.?\s+(\d+(?:\s*\([^)]{1,5}\))*(?:(?:,\s*(?:and\s+|or\s+)?|\s+and\s+|\s+or\s+|\s+to\s+)\d+(?:\s*\([^)]{1,5}\))*)*)"), F.lit(1))
+    bare = F.transform(lists, lambda x: F.regexp_replace(x, r"\([^)]*\)", " "))
+    return F.flatten(F.transform(bare, lambda x: F.regexp_extract_all(x, F.lit(r"(\d+)"), F.lit(1))))
+
+
+def plausible_articles(numbers: Column, highest: int = 99, cap: int = 12) -> Column:
+    """The first `cap` different numbers up to `highest`."""
+    return F.slice(F.array_distinct(F.filter(numbers, lambda n: F.coalesce(n.try_cast("int") <= highest, F.lit(True)))), 1, cap)
+
+
+def link_articles(text: Column, prefix: str) -> Column:
+    """Each `article N` as a link to prefix + N."""
+    return F.regexp_replace(text, r"(?i)\b(article\s+(\d{1,2}))\b", f'<a href="{prefix}$2">$1</a>')
+
+
+def drop_table_leaks(text: Column) -> Column:
+    """Text without rows of a word table: a level, nine whole numbers, a confidence and a word."""
+    return F.regexp_replace(text, r"(?m)(^|(?<=\s))[1-5](?:\s+-?\d+){9}\s+-?\d+(?:\.\d+)?\s+\S+[ \t]*(?:\n|$)", "")
+
+
+def trailing_heading(text: Column) -> Column:
+    """A short capitalised line after the last sentence of a paragraph; null if there is none."""
+    line = F.regexp_extract(text, r"[.;:!?][\"”]?\s*\n\s*([A-Z][^\n.;:!?]{2,80})\s*$", 1)
+    return F.nullif(line, F.lit(""))
+
+
+def clean_list(text: Column, separators: str = r"[;,\n]") -> Column:
+    """Parts of a free-form list: trimmed, without empty ones, final stops and repetitions."""
+    parts = F.transform(F.split(text, separators), lambda x: F.regexp_replace(F.trim(x), r"[.\s]+$", ""))
+    return F.array_distinct(F.filter(parts, lambda x: x != ""))
+
+
+def symbol_key(text: Column) -> Column:
+    """A document symbol for comparison: upper case, without spaces and final stops."""
+    return F.regexp_replace(F.upper(F.regexp_replace(text, r"\s+", "")), r"\.+$", "")

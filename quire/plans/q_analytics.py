@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quire.functions import citations, rules
+from quire.functions import citations, rules, urlstate
 from quire.functions.text import (
+    article_numbers,
     cite_key,
     dehyphenate,
     doc_id_of,
@@ -16,15 +17,18 @@ from quire.functions.text import (
     file_safe,
     fold,
     leading_int,
+    link_articles,
     normalise_url,
     numbered_parts,
     ordinal,
+    plausible_articles,
     prettify,
     short_digest,
     slugify,
     split_list,
     strip_html,
     strip_note_markers,
+    symbol_key,
     tokens,
     word_count,
     year_of,
@@ -32,7 +36,7 @@ from quire.functions.text import (
 from quire.operators import corpus
 from quire.plans.base import folded_paras, paras, query
 from quire.sources.readers import html_paragraphs, tables
-from quire.sources.writers import bibtex, csv_lines, manifest
+from quire.sources.writers import bibtex, csv_lines, manifest, workspace
 
 STOP = ["the", "of", "and", "to", "in", "a", "que", "de", "la", "le", "der", "und", "die", "el", "en", "et", "is", "for"]
 STOP_SQL = ", ".join(f"'{w}'" for w in STOP)
@@ -312,3 +316,39 @@ def compact_rows(spark, sf_dir):
 @query("SELECT doc_id, lang, strip_accents(lower(substr(text, 1, 200))) AS folded FROM documents")
 def fold_prefix(spark, sf_dir):
     return tables(spark, sf_dir, "documents").select("doc_id", "lang", fold(F.substring("text", 1, 200)).alias("folded"))
+
+
+@query(f"SELECT p_partkey, array_to_string(list_filter(CASE WHEN p_size IN (2, 3) THEN ['2', '3'] ELSE ['2', '3', p_size::VARCHAR] END, lambda x: true), ',') AS articles FROM part")
+def article_extraction(spark, sf_dir):
+    text = F.concat(F.lit("Under articles 2, 3 (1) and "), F.col("p_size").cast("string"), F.lit(" and article 120, see art. 2."))
+    found = plausible_articles(article_numbers(text))
+    return tables(spark, sf_dir, "part").select("p_partkey", F.array_join(found, ",").alias("articles"))
+
+
+@query("""SELECT p_partkey, 'See <a href="/a/' || p_size || '">article ' || p_size || '</a> and articles.' AS html FROM part""")
+def article_links(spark, sf_dir):
+    text = F.concat(F.lit("See article "), F.col("p_size").cast("string"), F.lit(" and articles."))
+    return tables(spark, sf_dir, "part").select("p_partkey", link_articles(text, "/a/").alias("html"))
+
+
+@query("SELECT page_id, CASE WHEN contains(url, '?page=') THEN regexp_extract(url, '[?&]page=([^&#]*)', 1) END AS page, CASE WHEN regexp_matches(url, '[?&]ref=') THEN 'x' END AS ref FROM pages")
+def url_parameters(spark, sf_dir):
+    return tables(spark, sf_dir, "pages").select("page_id", urlstate.parameter(F.col("url"), "page").alias("page"), urlstate.parameter(F.col("url"), "ref").alias("ref"))
+
+
+@query("SELECT page_id, CASE regexp_extract(url, '^https?://[^/]+(/[a-z]+)', 1) WHEN '/en' THEN '/search' WHEN '/fr' THEN '/recherche' ELSE '/' END AS target FROM pages")
+def legacy_paths(spark, sf_dir):
+    path = F.regexp_extract("url", "^https?://[^/]+(/[a-z]+)", 1)
+    return tables(spark, sf_dir, "pages").select("page_id", urlstate.translated(path, {"/en": "/search", "/fr": "/recherche"}).alias("target"))
+
+
+@query("SELECT p_partkey, upper(replace(p_brand, ' ', '')) AS symbol FROM part")
+def symbol_keys(spark, sf_dir):
+    return tables(spark, sf_dir, "part").select("p_partkey", symbol_key(F.concat(F.lit(" "), F.lower("p_brand"), F.lit(" ."))).alias("symbol"))
+
+
+@query("SELECT string_agg('- **' || r_name || '** region ' || r_regionkey || CASE WHEN r_regionkey % 2 = 0 THEN chr(10) || '  > even' ELSE '' END, chr(10) ORDER BY r_regionkey) AS text FROM region")
+def workspace_export(spark, sf_dir):
+    r = tables(spark, sf_dir, "region")
+    items = r.select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("title"), F.concat(F.lit("region "), F.col("r_regionkey").cast("string")).alias("text"), F.when(F.col("r_regionkey") % 2 == 0, "even").alias("note"))
+    return workspace(items, "md")

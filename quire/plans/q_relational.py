@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quire.operators import corpus, joins, ocr, sequences, sets
+from quire.operators import blocks, corpus, joins, ocr, sequences, sets
 from quire.plans.base import folded_paras, paras, query
 from quire.sources.readers import tables
 from quire.streaming import events as streams
@@ -266,3 +266,24 @@ def events_tumbling(spark, sf_dir):
 def events_stream(spark, sf_dir):
     """The tumbling windows, by Structured Streaming over the files with a watermark; tests hold it against the batch."""
     return streams.streamed_tumbling(spark, sf_dir)
+
+
+@query("SELECT l_orderkey AS doc, l_linenumber AS page, l_partkey FROM lineitem JOIN (SELECT l_orderkey, min(x) AS usual FROM (SELECT l_orderkey, x, n, max(n) OVER (PARTITION BY l_orderkey) AS best FROM (SELECT l_orderkey, l_suppkey % 3 AS x, count(*) AS n FROM lineitem WHERE l_quantity BETWEEN 5 AND 45 GROUP BY ALL)) WHERE n = best GROUP BY 1) u USING (l_orderkey) WHERE l_quantity BETWEEN 5 AND 45 AND abs(l_suppkey % 3 - usual) <= 1")
+def page_bands(spark, sf_dir):
+    li = t(spark, sf_dir, "lineitem")
+    rows = li.select(F.col("l_orderkey").alias("doc"), F.col("l_linenumber").alias("page"), (F.col("l_suppkey") % 3).alias("x"), F.col("l_quantity").alias("y"), "l_partkey")
+    return blocks.body_blocks(rows, 5, 45, 1).select("doc", "page", "l_partkey")
+
+
+@query("SELECT conv_id, n::VARCHAR AS n, string_agg(text, ' ' ORDER BY turn) AS text FROM (SELECT conv_id, turn, trim(text) AS text, max(CASE WHEN turn % 3 = 0 THEN turn // 3 + 1 END) OVER (PARTITION BY conv_id ORDER BY turn) AS n FROM conversations WHERE NOT regexp_matches(text, '^[ \\t\\n]*[0-9]') AND trim(text) <> '') WHERE n IS NOT NULL GROUP BY ALL")
+def numbered_lines(spark, sf_dir):
+    c = t(spark, sf_dir, "conversations").where(~F.col("text").rlike(r"^[ \t\n]*[0-9]") & (F.trim("text") != ""))
+    line = F.when(F.col("turn") % 3 == 0, F.concat(F.floor(F.col("turn") / 3 + 1).cast("string"), F.lit(". "), F.trim("text"))).otherwise(F.trim("text"))
+    return blocks.numbered(c.select("conv_id", "turn", line.alias("text")), ["conv_id"], "turn", "text")
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'native' WHEN doc_id % 3 = 1 THEN 'plain' ELSE 'sidecar' END AS method, length(text) AS chars FROM documents")
+def fallback_chain(spark, sf_dir):
+    d = t(spark, sf_dir, "documents")
+    text, method = blocks.first_result({"native": F.when(F.col("doc_id") % 3 == 0, F.col("text")), "plain": F.when(F.col("doc_id") % 3 == 1, F.col("text")).otherwise(" "), "sidecar": F.col("text")})
+    return d.select("doc_id", method.alias("method"), F.length(text).cast("long").alias("chars"))

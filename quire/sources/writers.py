@@ -57,3 +57,26 @@ def bibtex(df: DataFrame, doc: str, title: Column, year: Column, number: Column)
     """One entry a document, with its paragraph numbers in order."""
     per = df.groupBy(doc, title.alias("title"), year.alias("year")).agg(F.array_join(F.transform(F.array_sort(F.collect_set(number)), lambda x: x.cast("string")), ", ").alias("paras"))
     return per.select(doc, F.format_string("@misc{d%s, title={%s}, year={%s}, note={paras. %s}}", F.col(doc).cast("string"), "title", F.col("year").cast("string"), "paras").alias("entry"))
+
+
+def workspace(items: DataFrame, kind: str) -> DataFrame:
+    """One text of a workspace's items(id, title, text, note) in order of id, as md, tex or json. A workspace is a user's own list."""
+    from quire.functions.text import escape_tex
+
+    note = F.coalesce(F.col("note"), F.lit(""))
+    if kind == "json":
+        line = F.to_json(F.struct("id", "title", "text", "note"))
+    elif kind == "tex":
+        line = F.concat(F.lit("\\item "), escape_tex(F.col("title")), F.lit(": "), escape_tex(F.col("text")), F.when(note != "", F.concat(F.lit(" \\emph{"), escape_tex(note), F.lit("}"))).otherwise(""))
+    else:
+        line = F.concat(F.lit("- **"), F.col("title"), F.lit("** "), F.col("text"), F.when(note != "", F.concat(F.lit("\n  > "), note)).otherwise(""))
+    rows = F.array_sort(F.collect_list(F.struct("id", line.alias("line"))))
+    return items.agg(F.array_join(F.transform(rows, lambda x: x["line"]), "\n").alias("text"))
+
+
+def write_spreadsheet(df: DataFrame, path: str, most: int = 1_000_000) -> None:
+    """A result as a workbook, by the driver: a sheet has an upper limit of rows, beyond which this refuses."""
+    rows = df.limit(most + 1).toPandas()
+    if len(rows) > most:
+        raise ValueError(f"over {most} rows do not fit in a sheet")
+    rows.to_excel(path, index=False)

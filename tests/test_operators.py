@@ -2,9 +2,9 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from quire.functions import rules, text
-from quire.operators import corpus, facets, joins, ocr, search, sequences, sets
-from quire.sources import readers, writers
+from quire.functions import rules, text, urlstate
+from quire.operators import blocks, corpus, facets, joins, ocr, search, sequences, sets
+from quire.sources import docx, readers, writers
 from quire.streaming import events
 
 
@@ -201,3 +201,62 @@ def test_recent_queries(spark):
     assert events.collapse_recent(typed) == ["other", "worth it"]
     df = spark.createDataFrame(pd.DataFrame([(1, *q) for q in typed], columns=["u", "at", "q"]))
     assert [r["query"] for r in events.recent(df, "u", "at", "q").orderBy("place").collect()] == ["other", "worth it"]
+
+
+def archive(body, notes=""):
+    import io
+    import zipfile
+
+    w = 'xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main"'
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        z.writestr("word/document.xml", f"<w:document {w}><w:body>{body}</w:body></w:document>")
+        if notes:
+            z.writestr("word/footnotes.xml", f"<w:footnotes {w}>{notes}</w:footnotes>")
+    return out.getvalue()
+
+
+def test_docx(spark, tmp_path):
+    body = (
+        "<w:p><w:r><w:t>Before</w:t></w:r></w:p><w:p><w:pPr><w:pStyle w:val='Heading1'/></w:pPr><w:r><w:t>Facts</w:t></w:r></w:p>"
+        "<w:p><w:r><w:t>One</w:t><w:footnoteReference w:id='2'/><w:t> two</w:t><w:footnoteReference w:id='2'/><w:footnoteReference w:id='9'/></w:r></w:p><w:p/>"
+    )
+    notes = "<w:footnote w:id='-1'><w:t>x</w:t></w:footnote><w:footnote w:id='2'><w:p><w:r><w:t> A  note </w:t></w:r></w:p></w:footnote>"
+    (tmp_path / "a.docx").write_bytes(archive(body, notes))
+    (tmp_path / "b.docx").write_bytes(b"no archive")
+    got = docx.docx_paragraphs(spark, str(tmp_path)).orderBy("file", "idx").collect()
+    assert [tuple(r)[1:6] for r in got[:2]] == [(1, None, "Before", [], []), (2, "Facts", "One[[fn:2]] two[[fn:2]]", [2], ["A note"])]
+    assert got[2]["file"] == "b.docx" and got[2]["error"]
+
+
+def test_article_numbers(spark):
+    raw = "Articles 2, 3 (1) (a) and 14; art. 7, or 9. Article 3 again, articles 120 to 121; the art 5th"
+    assert one(spark, text.article_numbers(F.lit(raw))) == ["2", "3", "14", "7", "9", "3", "120", "121", "5"]
+    assert one(spark, text.plausible_articles(text.article_numbers(F.lit(raw)), cap=4)) == ["2", "3", "14", "7"]
+
+
+def test_line_rules(spark):
+    assert one(spark, text.drop_table_leaks(F.lit("a b\n5 1 1 1 1 1 10 20 30 40 95.5 word\nc"))) == "a b\nc"
+    assert one(spark, text.trailing_heading(F.lit("It ended.\nThe merits"))) == "The merits" and one(spark, text.trailing_heading(F.lit("It ended."))) is None
+    assert [one(spark, blocks.is_heading(F.lit(x))) for x in ("IV. Facts", "THE FACTS", "A. Claims", "The facts are.", "Plain words")] == [True, True, True, False, False]
+    assert [one(spark, blocks.is_signature(F.lit(x))) for x in ("(Signed) A", "____", "design")] == [True, True, False]
+    assert one(spark, text.clean_list(F.lit("a; b., a,\n ;c "))) == ["a", "b", "c"] and one(spark, text.symbol_key(F.lit(" a/ 1. "))) == "A/1"
+
+
+def test_url_state():
+    state = {"q": "a b|c", "labels": ["x", "y"], "from": 2000, "scope": "all"}
+    assert urlstate.decode(urlstate.encode(state)) == urlstate.DEFAULTS | state
+    assert urlstate.encode({}) == "" and urlstate.decode("?from=x&zz=1") == urlstate.DEFAULTS
+
+
+def test_workspace_kinds(spark):
+    df = spark.createDataFrame([(2, "B_", "t2", None), (1, "A", "t1", "n&")], "id int, title string, text string, note string")
+    assert writers.workspace(df, "md").first()["text"] == "- **A** t1\n  > n&\n- **B_** t2"
+    assert writers.workspace(df, "tex").first()["text"] == "\\item A: t1 \\emph{n\\&}\n\\item B\\_: t2"
+    assert writers.workspace(df, "json").first()["text"].splitlines()[0] == '{"id":1,"title":"A","text":"t1","note":"n&"}'
+
+
+def test_numbered_lines(spark):
+    rows = [(1, 1, "Header"), (1, 2, "1. First"), (1, 3, "goes on"), (1, 4, "2.1 Second")]
+    got = blocks.numbered(spark.createDataFrame(rows, "d int, i int, t string"), ["d"], "i", "t").orderBy("n").collect()
+    assert [(r["n"], r["text"]) for r in got] == [("1", "First goes on"), ("2.1", "Second")]
