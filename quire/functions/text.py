@@ -14,8 +14,9 @@ PLAIN = "aaaaaaaaacccdeeeeeeeeiiiiiilllnnnoooooooorrsstuuuuuuuuyyzzz"
 
 
 def fold(text: Column) -> Column:
-    """Lower case without diacritics, so that word boundaries and substring tests ignore both."""
-    return F.translate(F.lower(text), ACCENTED, PLAIN)
+    """Lower case without diacritics, so that word boundaries and substring tests ignore both. ASCII texts skip the translation."""
+    low = F.lower(text)
+    return F.when(F.octet_length(text) == F.length(text), low).otherwise(F.translate(low, ACCENTED, PLAIN))
 
 
 def fold_literal(text: str) -> str:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quire.functions.text import fold
 from quire.operators.corpus import paragraphs
-from quire.sources.readers import tables
+from quire.sources.readers import spread, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -34,7 +34,7 @@ def query(sql: str | None = None, paras: bool = False):
 
 
 def paras(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return paragraphs(tables(spark, sf_dir, "documents"), keep=["lang", "source"])
+    return paragraphs(spread(tables(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")), keep=["lang", "source"])
 
 
 def folded_paras(spark: SparkSession, sf_dir: str) -> DataFrame:

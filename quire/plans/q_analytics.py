@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.feature import NGram
 from pyspark.sql import functions as F
 
 from quire.functions import citations, rules, urlstate
@@ -52,8 +53,8 @@ def word_freq(spark, sf_dir):
 def bigram_freq(spark, sf_dir):
     """Per paragraph: pairs don't cross its bounds, so the count doesn't hang on the order of files."""
     words = F.filter(tokens(F.col("folded")), lambda w: ~w.isin(STOP))
-    pairs = F.zip_with(F.slice("w", 1, F.size("w") - 1), F.slice("w", 2, F.size("w") - 1), lambda a, b: F.concat_ws(" ", a, b))
-    rows = folded_paras(spark, sf_dir).select(words.alias("w")).where(F.size("w") > 1).select(F.explode(pairs).alias("bigram"))
+    rows = NGram(n=2, inputCol="w", outputCol="bigrams").transform(folded_paras(spark, sf_dir).select(words.alias("w")))
+    rows = rows.select(F.explode("bigrams").alias("bigram"))
     return rows.groupBy("bigram").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "bigram").limit(20)
 
 

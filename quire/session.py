@@ -16,6 +16,7 @@ def local_session(cores: str = "8", app: str = "quire", **extra: str) -> SparkSe
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": "4m",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.checkpoint.dir": "/tmp/quire-checkpoints",

@@ -18,6 +18,12 @@ def tables(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df, dealt to all cores if its scan has fewer than half as many splits (one large row group, say); else as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() <= cores else df
+
+
 def json_paragraphs(spark: SparkSession, path: str, schema: str = PARAGRAPH) -> tuple[DataFrame, DataFrame]:
     """(paragraphs with file and position, files that could not be parsed) of a folder of JSON arrays."""
     raw = spark.read.text(path, wholetext=True).select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file"), F.col("value"))
