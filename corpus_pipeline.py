@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quire.llm import language, mixing, packing, simhash, suffix
 from quire.llm.common import forget, stored
+from quire.sources.readers import spread, tables
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +57,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; each one's output is stored and read again by the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spread(tables(spark, sf_dir, "documents"))
     last = None
     for name, stage in STAGES[:-1]:
         after = stored(stage(spark, docs, sf_dir))

@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm import gif, language, licenses, mixing, packing, quality, sharding, simhash, suffix, url_rules
+from quire.sources.readers import spread, tables
 
 SHARDS = 24
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(tables(spark, sf_dir, name))
 
 
 def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
