@@ -7,6 +7,7 @@ is an interval with its rule's priority. An interval inside another of at least
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -102,7 +103,8 @@ def spans_of(norm: Column, regex: Column) -> Column:
 
 def detections(norm: Column, table: list[tuple[str, int, str, str]]) -> Column:
     """[(a, -b, -priority, label)] of all rules' matches, sorted: what contains an interval stands before it."""
-    rows = F.array(*(F.struct(F.lit(label).alias("label"), F.lit(p).alias("p"), F.lit(regex).alias("regex"), F.lit(k).alias("keyword")) for label, p, regex, k in table))
+    # one literal, which the optimizer folds; an expression for each of hundreds of rules takes seconds to plan
+    rows = F.from_json(F.lit(json.dumps([dict(zip(("label", "p", "regex", "keyword"), r, strict=True)) for r in table])), "array<struct<label:string,p:int,regex:string,keyword:string>>")
     live = F.filter(rows, lambda r: F.contains(norm, r["keyword"]))
     live = F.filter(live, lambda r: F.rlike(norm, r["regex"]))
     each = F.transform(live, lambda r: F.transform(spans_of(norm, r["regex"]), lambda s: F.struct(s["a"].alias("a"), (-s["b"]).alias("nb"), (-r["p"]).alias("np"), r["label"].alias("label"))))
