@@ -70,8 +70,8 @@ SINGLE = [("copyright", 1, r"copyright (?:c )?[0-9]{4}", "copyright"), ("all-rig
 GATES = ["licen", "gpl", "copyright", "spdx", "domain", "reserved", "commons", "cc0"]
 GATE_WORDS = r"(?<![0-9a-z\x{80}-\x{10FFFF}])(?:gnu|cc)(?![0-9a-z\x{80}-\x{10FFFF}])"
 OTHER = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: A word of a text whose A-Z are not lower-cased yet.
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: A word of a text whose A-Z are not lower-cased yet; as a positive class, which Java matches far faster.
+WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]++"
 
 
 def rules() -> list[tuple[str, int, str, str]]:
