@@ -241,9 +241,9 @@ def work_queue(spark, sf_dir):
     return top.select("l_orderkey", "l_linenumber", F.col("rank").alias("place"))
 
 
-@query("SELECT docId, p_partkey FROM (SELECT p_partkey, CASE WHEN row_number() OVER (PARTITION BY slug ORDER BY stem) > 1 THEN slug || '-' || substr(sha1(stem), 1, 6) ELSE slug END AS docId FROM (SELECT p_partkey, stem, CASE WHEN count(*) OVER (PARTITION BY sig) = 1 THEN replace(lower(sig), '#', '-') ELSE replace(replace(lower(stem), ' ', '-'), '#', '-') END AS slug FROM (SELECT p_partkey, p_brand || ' ' || p_size AS sig, p_name || ' ' || p_partkey % 50 AS stem FROM part WHERE p_partkey <= 500)))".replace("replace(lower(sig), '#', '-')", "replace(replace(lower(sig), '#', '-'), ' ', '-')"))
+@query("SELECT docId, p_partkey FROM (SELECT p_partkey, CASE WHEN row_number() OVER (PARTITION BY slug ORDER BY stem) > 1 THEN slug || '-' || substr(sha1(stem), 1, 6) ELSE slug END AS docId FROM (SELECT p_partkey, stem, CASE WHEN count(*) OVER (PARTITION BY sig) = 1 THEN replace(lower(sig), '#', '-') ELSE replace(replace(lower(stem), ' ', '-'), '#', '-') END AS slug FROM (SELECT p_partkey, p_brand || ' ' || p_size AS sig, p_name || CASE WHEN p_partkey > 250 THEN '-' ELSE ' ' END || p_partkey % 250 AS stem FROM part WHERE p_partkey <= 500)))".replace("replace(lower(sig), '#', '-')", "replace(replace(lower(sig), '#', '-'), ' ', '-')"))
 def document_ids(spark, sf_dir):
-    p = t(spark, sf_dir, "part").where("p_partkey <= 500").select("p_partkey", F.concat_ws(" ", "p_brand", F.col("p_size").cast("string")).alias("sig"), F.concat_ws(" ", "p_name", (F.col("p_partkey") % 50).cast("string")).alias("stem"))
+    p = t(spark, sf_dir, "part").where("p_partkey <= 500").select("p_partkey", F.concat_ws(" ", "p_brand", F.col("p_size").cast("string")).alias("sig"), F.concat("p_name", F.when(F.col("p_partkey") > 250, "-").otherwise(" "), (F.col("p_partkey") % 250).cast("string")).alias("stem"))
     return corpus.document_ids(p, "sig", "stem").select("docId", "p_partkey")
 
 
