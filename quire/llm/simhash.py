@@ -11,7 +11,9 @@ and with those that visit it from across a boundary, on all 64 bits, and reports
 near_groups() links 64-bit fingerprints at 4 bits, exactly. one_each() finds near copies by similarity:
 at a Jaccard similarity of 0.8, about 10 of 64 bits differ, far too many for the pigeonhole, so it takes
 WIDE_WORDS x 64 bits of distinct five-word shingles and WIDE_BLOCKS trees, of which one block suffices to
-agree. Links found so are then confirmed on the shingles themselves.
+agree. Links found so are confirmed on the shingles themselves and join up most families. What they miss
+is found exactly: of two texts at the similarity, the rarest shingles of each have one in common
+(rarest()), so those that share one and aren't joined yet are compared too.
 """
 
 from __future__ import annotations
@@ -43,6 +45,10 @@ CONFIRM_ROWS = 1024
 CELLS = 1 << 20
 #: Shingles whose bits are counted at once.
 PIECE = 1 << 14
+#: Shingles known to be common, at most, and the texts that they are counted in.
+COMMON, COMMON_TEXTS = 1 << 16, 1 << 13
+#: Rare shingles that a bucket is planned for.
+BUCKET_SHINGLES = 1 << 19
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -276,24 +282,103 @@ def wide_fingerprint(h: np.ndarray) -> bytes:
     return np.packbits(2 * ones > len(h), axis=1, bitorder="little").tobytes()
 
 
-def wide_id(wide: bytes) -> int:
-    h = xxhash.xxh3_64_intdigest(wide)
+def set_id(hashes: np.ndarray) -> int:
+    """Of the shingles, not of their fingerprint: texts that differ in few of many shingles can share that."""
+    h = xxhash.xxh3_64_intdigest(hashes.tobytes())
     return h - (h >> 63 << 64)
 
 
-def wide_fingerprints(docs: DataFrame, keep: list[str], name: str = "fp") -> DataFrame:
-    """The columns in keep, `name` (a hash of the wide fingerprint) and wide (its bytes) of every whole text."""
-    schema = "".join(f"`{c}` {t}, " for c, t in docs.select(*keep).dtypes) + f"{name} long, wide binary"
+def common_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of shingles that recur in a sample of the texts, and how often.
+
+    They only set the order of rarest(): any order finds the same pairs, this one in small groups.
+    """
+    share = min(1.0, COMMON_TEXTS / max(1, docs.count()))
+    drawn = docs.where(F.pmod(F.xxhash64(F.col("text").cast("binary")), F.lit(1 << 20)) < F.lit(math.ceil(share * (1 << 20))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for batch in batches:
-            wide = [wide_fingerprint(shingle_hashes(x.as_buffer().to_pybytes() if x.is_valid else b"")) for x in batch["_text"]]
-            ids = np.array([wide_id(w) for w in wide], np.int64)
-            yield pa.RecordBatch.from_arrays([*(batch[c] for c in keep), pa.array(ids), pa.array(wide, pa.binary())], names=[*keep, name, "wide"])
+            for x in batch["_text"]:
+                hashes = shingle_hashes(x.as_buffer().to_pybytes() if x.is_valid else b"")
+                if (own := set_id(hashes)) not in seen:
+                    seen.add(own)
+                    yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64))], names=["h"])
+
+    found = drawn.select(F.col("text").cast("binary").alias("_text")).mapInArrow(run, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 2")
+    rows = found.orderBy(F.desc("n"), "h").limit(COMMON).collect()
+    h = np.array([r["h"] for r in rows], np.int64).view(np.uint64)
+    order = np.argsort(h)
+    return h[order], np.array([r["n"] for r in rows], np.int64)[order]
+
+
+def rarest(h: np.ndarray, similarity: float, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The first shingles by rarity, then hash, so many that two sets at the similarity have one of them in common.
+
+    Such sets share at least similarity x n of either's n shingles. All but these and one more can't hold them all.
+    """
+    known, times = common
+    if len(known) and len(h):
+        at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+        h = h[np.argsort(np.where(known[at] == h, times[at], 0), kind="stable")]
+    return h[: len(h) - math.ceil(similarity * len(h) - 1e-9) + 1]
+
+
+def wide_fingerprints(docs: DataFrame, keep: list[str], name: str = "fp", similarity: float = SIMILARITY, common: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
+    """The columns in keep, `name` (a hash of the shingles) and wide (the fingerprint's bytes) of every whole text; given common, rare (the hashes of rarest()) and size (how many shingles) too."""
+    schema = "".join(f"`{c}` {t}, " for c, t in docs.select(*keep).dtypes) + f"{name} long, wide binary" + (", rare binary, size int" if common else "")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, wide, rare, sizes = [], [], [], []
+            for x in batch["_text"]:
+                hashes = shingle_hashes(x.as_buffer().to_pybytes() if x.is_valid else b"")
+                ids.append(set_id(hashes))
+                wide.append(wide_fingerprint(hashes))
+                if common:
+                    rare.append(rarest(hashes, similarity, common).tobytes())
+                    sizes.append(len(hashes))
+            more = [pa.array(rare, pa.binary()), pa.array(sizes, pa.int32())] if common else []
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in keep), pa.array(ids, pa.int64()), pa.array(wide, pa.binary()), *more], names=[*keep, name, "wide", *(["rare", "size"] if common else [])])
 
     return docs.select(*keep, F.col("text").cast("binary").alias("_text")).mapInArrow(run, schema)
 
 
+def shared_shingles(marked: DataFrame) -> DataFrame:
+    """(h, fp): the rare shingles of marked(fp, rare) that two or more fp have, with each of these.
+
+    They travel packed, batch by batch; copies of a text collapse in each task before.
+    """
+    total = marked.agg(F.sum(F.octet_length("rare"))).first()[0] or 0
+    buckets = max(1, -(-total // (8 * BUCKET_SHINGLES)))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
+        for batch in batches:
+            ids, rare = [], []
+            for fp, r in zip(batch["fp"].to_pylist(), batch["rare"].to_pylist(), strict=True):
+                if fp not in seen:
+                    seen.add(fp)
+                    ids.append(fp)
+                    rare.append(r)
+            h = np.frombuffer(b"".join(rare), np.uint64)
+            pairs = np.stack([h.view(np.int64), np.repeat(np.array(ids, np.int64), [len(r) // 8 for r in rare])], axis=1)
+            bucket = (h % np.uint64(buckets)).astype(np.int32)
+            order = np.argsort(bucket, kind="stable")
+            edges = np.append(np.flatnonzero(np.append(True, bucket[order][1:] != bucket[order][:-1])), len(order)) if len(order) else np.zeros(1, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[order][edges[:-1]], pa.int32()), pa.array([pairs[order[x:y]].tobytes() for x, y in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)], pa.binary())], names=["bucket", "pairs"])
+
+    def meet(group: pa.Table) -> pa.Table:
+        pairs = np.frombuffer(b"".join(group["pairs"].to_pylist()), np.int64).reshape(-1, 2)
+        pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
+        pairs = pairs[np.append(True, (pairs[1:] != pairs[:-1]).any(axis=1))]
+        same = pairs[1:, 0] == pairs[:-1, 0]
+        pairs = pairs[np.append(same, False) | np.append(False, same)]
+        return pa.table({"h": np.ascontiguousarray(pairs[:, 0]), "fp": np.ascontiguousarray(pairs[:, 1])})
+
+    return marked.select("fp", "rare").mapInArrow(deal, "bucket int, pairs binary").groupBy("bucket").applyInArrow(meet, "h long, fp long")
+
+
 def wide_radius(similarity: float) -> int:
     """Differing bits of a pair at this Jaccard similarity, and two standard deviations more."""
     share = math.acos(2 * similarity / (1 + similarity)) / math.pi
@@ -315,7 +400,7 @@ def wide_forest(fps: np.ndarray, radius: int, cells: int = CELLS) -> np.ndarray:
 
 
 def wide_links(nodes: DataFrame, rows: int, similarity: float = SIMILARITY, shard_rows: int = WIDE_SHARD_ROWS, task_rows: int = TASK_ROWS) -> DataFrame:
-    """(a, b): links between nodes(fp, wide) whose wide fingerprints are within wide_radius(), as each shard's forest.
+    """(a, b): links between nodes(fp, wide) whose wide fingerprints are within wide_radius(), as each shard's forest; not all of them.
 
     A tree for each block of WIDE_BITS bits, with radius 0. Of a pair at the similarity, a block agrees
     with probability 0.138, so one of 32 does with 0.991; of a pair at 0.9, with more than 0.9999.
@@ -390,28 +475,33 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both)
 
 
-def confirmed(docs: DataFrame, nodes: DataFrame, edges: DataFrame, similarity: float, task_rows: int = CONFIRM_ROWS) -> DataFrame:
-    """(a, b): links within the components of edges that hold on the shingles of the texts themselves.
-
-    Only members of a component meet, and a component of over task_rows is compared part by part.
-    """
-    roots = components(edges)
-    members = stored(roots.select(F.col("node").alias("fp"), "root").unionByName(roots.select(F.col("root").alias("fp"), "root").distinct()).join(nodes.select("fp", "first"), "fp"))
-    buckets = buckets_for(20 * members.count())
-    texts = docs.select("doc_id", F.col("text").cast("binary").alias("_text")).join(members.withColumnRenamed("first", "_first").hint("merge"), F.col("doc_id").eqNullSafe(F.col("_first")))
+def shingle_sets(docs: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame:
+    """fp, root, wide and hashes (its shingles) for found(fp, root)."""
+    members = stored(found.join(nodes.select("fp", "first"), "fp"))
+    texts = docs.select("doc_id", F.col("text").cast("binary").alias("_text")).join(members.withColumnRenamed("first", "_first"), F.col("doc_id").eqNullSafe(F.col("_first")))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cols: list[list] = [[], [], [], []]
             for fp, root, text in zip(batch["fp"].to_pylist(), batch["root"].to_pylist(), batch["_text"], strict=True):
                 hashes = shingle_hashes(text.as_buffer().to_pybytes() if text.is_valid else b"")
-                wide = wide_fingerprint(hashes)
-                if wide_id(wide) == fp:  # else another text under the same doc_id
-                    for c, v in zip(cols, (fp, root, wide, hashes.tobytes()), strict=True):
+                if set_id(hashes) == fp:  # else another text under the same doc_id
+                    for c, v in zip(cols, (fp, root, wide_fingerprint(hashes), hashes.tobytes()), strict=True):
                         c.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["fp", "root", "wide", "hashes"])
 
-    rows = stored(texts.select("fp", "root", "_text").mapInArrow(read, "fp long, root long, wide binary, hashes binary"))
+    # rows that repeat a doc_id and a text repeat here
+    return stored(texts.select("fp", "root", "_text").mapInArrow(read, "fp long, root long, wide binary, hashes binary"))
+
+
+def confirmed(docs: DataFrame, nodes: DataFrame, edges: DataFrame, similarity: float, task_rows: int = CONFIRM_ROWS) -> DataFrame:
+    """(a, b): links within the components of edges that hold on the shingles of the texts themselves.
+
+    Only members of a component meet, and a component of over task_rows is compared part by part.
+    """
+    roots = components(edges)
+    rows = shingle_sets(docs, nodes, roots.select(F.col("node").alias("fp"), "root").unionByName(roots.select(F.col("root").alias("fp"), "root").distinct()))
+    buckets = buckets_for(20 * rows.count())
     # large components have tasks of their own, the others share buckets
     dealt = in_parts(rows, ["root"], task_rows).withColumn("bucket", F.pmod(F.xxhash64("root"), F.lit(buckets)).cast("int"))
     radius = wide_radius(similarity)
@@ -434,6 +524,39 @@ def confirmed(docs: DataFrame, nodes: DataFrame, edges: DataFrame, similarity: f
     return dealt.groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long").distinct()
 
 
+def rest(docs: DataFrame, nodes: DataFrame, links_of: DataFrame, shared: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): all pairs at the similarity that links_of doesn't join, confirmed on their shingles.
+
+    Each shares rare shingles, and how many at least follows from the sizes: where the order of rarest()
+    passes the end of one set's rare shingles first, all that both have so far is rare in both, and at most
+    the others of that set are to come. So only pairs that may hold have their texts read.
+    """
+    roots = components(links_of)
+    places = nodes.select("fp", "size").join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "size", F.coalesce("root", "fp").alias("root"))
+    at = stored(shared.join(places, "fp"))
+    # a family that is joined already meets nobody
+    several = at.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("h")
+    met = stored(at.join(several, "h", "left_semi"))
+    a, b = (met.select("h", *(F.col(c).alias(f"{c}_{x}") for c in ("fp", "size", "root"))) for x in "ab")
+    large, small = F.greatest("size_a", "size_b"), F.least("size_a", "size_b")
+    near = (F.col("fp_a") < F.col("fp_b")) & (F.col("root_a") != F.col("root_b")) & (small + 1e-6 >= similarity * large)
+    both = a.join(b, "h").where(near).groupBy("fp_a", "fp_b", "size_a", "size_b").agg(F.count(F.lit(1)).alias("n"))
+    least = F.ceil(similarity / (1 + similarity) * (large + small) - 1e-6) - F.ceil(similarity * large - 1e-6) + 1
+    pairs = stored(both.where(F.col("n") >= least).select("fp_a", "fp_b"))
+    ends = pairs.select(F.col("fp_a").alias("fp")).union(pairs.select(F.col("fp_b").alias("fp"))).distinct()
+    sets_of = shingle_sets(docs, nodes, ends.select("fp", F.lit(0).cast("long").alias("root")))
+    for x in "ab":
+        pairs = pairs.join(sets_of.select(F.col("fp").alias(f"fp_{x}"), F.col("hashes").alias(f"hashes_{x}")), f"fp_{x}")
+
+    def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = ([np.frombuffer(x.as_buffer(), np.uint64) for x in batch[f"hashes_{y}"]] for y in "ab")
+            holds = pa.array([jaccard(p, q) >= similarity for p, q in zip(*sets, strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch["fp_a"].filter(holds), batch["fp_b"].filter(holds)], names=["a", "b"])
+
+    return pairs.mapInArrow(hold, "a long, b long")
+
+
 def hex_of(fp: str) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
@@ -453,16 +576,18 @@ def near_groups(docs: DataFrame) -> DataFrame:
 def one_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of docs without near copies: of each component, the row with the smallest doc_id.
 
-    Near copies are texts whose distinct five-word shingles have this Jaccard similarity or more; pairs are
-    found by wide fingerprints (see wide_links() for the recall) and confirmed on the shingles. Of rows that repeat a doc_id and a text, one stays; a component of null ids alone keeps one row too.
+    Near copies are texts whose distinct five-word shingles have this Jaccard similarity or more. Wide fingerprints
+    find most pairs, rest() finds all others, and each is confirmed on the shingles. Of rows that repeat a doc_id and a text, one stays; a component of null ids alone keeps one row too.
     """
-    marked = stored(wide_fingerprints(docs, ["doc_id"]))
-    nodes = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first"), F.first("wide").alias("wide")))
-    links_of = confirmed(docs, nodes, wide_links(nodes, nodes.count(), similarity), similarity)
-    components_of = grouped(nodes.select("fp", "first"), links_of)
+    marked = stored(wide_fingerprints(docs, ["doc_id"], similarity=similarity, common=common_shingles(docs)))
+    nodes = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first"), F.first("wide").alias("wide"), F.first("size").alias("size")))
+    shared = stored(shared_shingles(marked))
+    links_of = stored(confirmed(docs, nodes, wide_links(nodes, nodes.count(), similarity), similarity))
+    more = stored(rest(docs, nodes, links_of, shared, similarity))
+    components_of = grouped(nodes.select("fp", "first"), links_of.unionByName(more))
     stays = stored(marked.select("doc_id", "fp").join(components_of, "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id", "fp").agg(F.count(F.lit(1)).alias("n")))
-    forget(marked)
-    forget(nodes)
+    for written in (marked, nodes, shared, links_of, more):
+        forget(written)
     ids = stays.select(F.col("doc_id").alias("_id"))
     # the ids grow with the corpus, so they are never broadcast
     kept = docs.join(ids.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")

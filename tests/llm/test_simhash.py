@@ -202,3 +202,36 @@ def test_one_each(spark):
     nulls = spark.createDataFrame([(None, "a b c"), (None, "a b c"), (None, "x y z")], "doc_id long, text string")
     assert sorted(r["text"] for r in simhash.one_each(nulls).collect()) == ["a b c", "x y z"]
     assert simhash.one_each(empty(spark)).collect() == []
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_one_each_keeps_no_near_copy_of_any_length(spark, seed):
+    """Short texts and texts of unequal length, which wide fingerprints alone lose: all pairs at 0.8 or more are joined."""
+    rng = random.Random(seed)
+    rows = []
+    for n in [8] * 60 + [12, 20, 40, 100, 300] * 6:
+        text = [f"w{rng.randint(0, 5000)}" for _ in range(n)]
+        more = max(1, (n - 4) // 4)
+        rows += [text, text + [f"x{rng.randint(0, 5000)}" for _ in range(more)], text + [f"y{rng.randint(0, 5000)}" for _ in range(more + 1)]]
+    line = [f"c{i}" for i in range(30)]
+    rows += [line + [f"z{rng.randint(0, 5000)}" for _ in range(rng.choice([5, 9, 40]))] for _ in range(60)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(rows)]
+    want = list(range(len(rows)))
+    for i, a in rows:
+        for j, b in rows[:i]:
+            if want[i] != want[j] and jaccard(a, b) >= 0.8:
+                want = [want[j] if w == want[i] else w for w in want]
+    first = {w: min(j for j in range(len(rows)) if want[j] == w) for w in set(want)}
+    kept = simhash.one_each(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(first.values())
+
+
+def test_rarest_shingles_meet():
+    rng = np.random.default_rng(4)
+    for _ in range(2000):
+        n, more, less = rng.integers(1, 60), rng.integers(0, 12), rng.integers(0, 12)
+        a = np.unique(rng.integers(0, 1 << 63, n + more, np.uint64))
+        b = np.unique(np.concatenate([a[: len(a) - min(less, len(a) - 1)], rng.integers(0, 1 << 63, less, np.uint64)]))
+        common = np.sort(rng.choice(a, len(a) // 2, replace=False)), rng.integers(1, 9, len(a) // 2)
+        if simhash.jaccard(a, b) >= 0.8:
+            assert set(simhash.rarest(a, 0.8, common)) & set(simhash.rarest(b, 0.8, common))
