@@ -290,6 +290,13 @@ def safe_corrections(spark, sf_dir):
     return folded_paras(spark, sf_dir).where("idx = 1").select("doc_id", "idx", text.alias("fixed"), n.cast("int").alias("n"))
 
 
+@query("SELECT doc_id, idx, replace(replace(folded, 'tion', 'xion'), 'worth', 'wrth') AS fixed, (len(string_split(folded, 'tion')) + len(string_split(replace(folded, 'tion', 'xion'), 'worth')) - 2)::INTEGER AS n FROM folded", paras=True)
+def safe_corrections_all(spark, sf_dir):
+    """Of every paragraph."""
+    text, n = rules.corrected(F.col("folded"), [("tion", "xion"), ("worth", "wrth")])
+    return folded_paras(spark, sf_dir).select("doc_id", "idx", text.alias("fixed"), n.cast("int").alias("n"))
+
+
 @query("SELECT doc_id, idx, len(regexp_extract_all(body, '[^ \\t\\n\\x0b\\f\\r]+'))::INTEGER AS words, length(body)::INTEGER AS chars FROM paras", paras=True)
 def word_counts(spark, sf_dir):
     return paras(spark, sf_dir).select("doc_id", "idx", word_count(F.col("body")).alias("words"), F.length("body").alias("chars"))
