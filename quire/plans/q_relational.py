@@ -150,7 +150,16 @@ def carried_forward(spark, sf_dir):
 
 @query("SELECT doc_id, idx, start, hits FROM (SELECT doc_id, idx, p AS start, n AS hits, row_number() OVER (PARTITION BY doc_id, idx ORDER BY n DESC, p) AS r FROM (SELECT doc_id, idx, p, count(*) OVER (PARTITION BY doc_id, idx ORDER BY p RANGE BETWEEN CURRENT ROW AND 200 FOLLOWING) AS n FROM (SELECT doc_id, idx, unnest(list_filter(range(1, length(folded) + 1), lambda i: substr(folded, i, 4) = 'tion'))::INTEGER AS p FROM folded WHERE idx = 1))) WHERE r = 1", paras=True)
 def dense_cluster(spark, sf_dir):
-    rows = folded_paras(spark, sf_dir).where("idx = 1")
+    return _densest(folded_paras(spark, sf_dir).where("idx = 1"))
+
+
+@query("SELECT doc_id, idx, start, hits FROM (SELECT doc_id, idx, p AS start, n AS hits, row_number() OVER (PARTITION BY doc_id, idx ORDER BY n DESC, p) AS r FROM (SELECT doc_id, idx, p, count(*) OVER (PARTITION BY doc_id, idx ORDER BY p RANGE BETWEEN CURRENT ROW AND 200 FOLLOWING) AS n FROM (SELECT doc_id, idx, unnest(list_filter(range(1, length(folded) + 1), lambda i: substr(folded, i, 4) = 'tion'))::INTEGER AS p FROM folded))) WHERE r = 1", paras=True)
+def dense_cluster_all(spark, sf_dir):
+    """Of every paragraph."""
+    return _densest(folded_paras(spark, sf_dir))
+
+
+def _densest(rows):
     pieces = F.split("folded", "tion", -1)
     at = F.aggregate(F.slice(pieces, 1, F.size(pieces) - 1), F.struct(F.lit(1).alias("p"), F.array().cast("array<int>").alias("l")), lambda a, x: F.struct((a["p"] + F.length(x) + 4).alias("p"), F.array_append(a["l"], a["p"] + F.length(x)).alias("l")), lambda a: a["l"])
     return sequences.densest(rows.select("doc_id", "idx", F.explode(at).alias("p")), ["doc_id", "idx"], "p")

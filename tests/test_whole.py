@@ -21,3 +21,9 @@ def rows_of(spark, name, sf_dir):
 def test_corrections_in_every_paragraph(spark, table):
     sf = table("documents", [(1, "en", "s", "First nation\n\nSecond station worth it")], "doc_id long, lang string, source string, text string")
     assert rows_of(spark, "safe_corrections_all", sf) == [(1, 1, "first naxion", 1), (1, 2, "second staxion wrth it", 2)]
+
+
+def test_clusters_in_every_paragraph(spark, table):
+    text = "tion\nno hit\n" + "ab tion" * 3 + " " * 300 + "tion tion"
+    sf = table("documents", [(1, "en", "s", text)], "doc_id long, lang string, source string, text string")
+    assert rows_of(spark, "dense_cluster_all", sf) == [(1, 1, 1, 1), (1, 3, 4, 3)]
