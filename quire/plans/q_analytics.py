@@ -140,6 +140,12 @@ def html_escape(spark, sf_dir):
     return tables(spark, sf_dir, "pages").select("page_id", escape_html(F.substring("html", 1, 200)).alias("escaped"))
 
 
+@query("SELECT page_id, replace(replace(replace(replace(html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;') AS escaped FROM pages")
+def html_escape_all(spark, sf_dir):
+    """Of the whole page."""
+    return tables(spark, sf_dir, "pages").select("page_id", escape_html(F.col("html")).alias("escaped"))
+
+
 @query()
 def html_blocks(spark, sf_dir):
     return html_paragraphs(tables(spark, sf_dir, "pages"))
@@ -326,6 +332,12 @@ def fold_prefix(spark, sf_dir):
     return tables(spark, sf_dir, "documents").select("doc_id", "lang", fold(F.substring("text", 1, 200)).alias("folded"))
 
 
+@query("SELECT doc_id, lang, strip_accents(lower(text)) AS folded FROM documents")
+def fold_text(spark, sf_dir):
+    """Of the whole text."""
+    return tables(spark, sf_dir, "documents").select("doc_id", "lang", fold(F.col("text")).alias("folded"))
+
+
 @query(f"SELECT p_partkey, array_to_string(list_filter(CASE WHEN p_size IN (2, 3) THEN ['2', '3'] ELSE ['2', '3', p_size::VARCHAR] END, lambda x: true), ',') AS articles FROM part")
 def article_extraction(spark, sf_dir):
     text = F.concat(F.lit("Under articles 2, 3 (1) and "), F.col("p_size").cast("string"), F.lit(" and article 120, see art. 2."))

@@ -27,3 +27,10 @@ def test_clusters_in_every_paragraph(spark, table):
     text = "tion\nno hit\n" + "ab tion" * 3 + " " * 300 + "tion tion"
     sf = table("documents", [(1, "en", "s", text)], "doc_id long, lang string, source string, text string")
     assert rows_of(spark, "dense_cluster_all", sf) == [(1, 1, 1, 1), (1, 3, 4, 3)]
+
+
+def test_whole_texts(spark, table):
+    table("pages", [(1, "<b>&" * 200)], "page_id long, html string")
+    sf = table("documents", [(1, "fr", "\u00c9t\u00e9 " * 200)], "doc_id long, lang string, text string")
+    assert rows_of(spark, "html_escape_all", sf) == [(1, "&lt;b&gt;&amp;" * 200)]
+    assert rows_of(spark, "fold_text", sf) == [(1, "fr", "ete " * 200)]
