@@ -208,6 +208,13 @@ def bibtex_export(spark, sf_dir):
     return bibtex(o, "doc", F.concat(F.lit("Customer "), F.col("doc").cast("string")), F.lit(1999), F.col("o_orderkey"))
 
 
+@query("SELECT o_custkey AS doc, '@misc{d' || o_custkey || ', title={Customer ' || o_custkey || '}, year={1999}, note={paras. ' || string_agg(o_orderkey::VARCHAR, ', ' ORDER BY o_orderkey) || '}}' AS entry FROM orders GROUP BY 1")
+def bibtex_export_all(spark, sf_dir):
+    """Of every customer."""
+    o = tables(spark, sf_dir, "orders").select(F.col("o_custkey").alias("doc"), "o_orderkey")
+    return bibtex(o, "doc", F.concat(F.lit("Customer "), F.col("doc").cast("string")), F.lit(1999), F.col("o_orderkey"))
+
+
 @query("SELECT c_custkey, row_number() OVER (ORDER BY c_acctbal DESC, c_custkey)::INTEGER AS rank, CASE WHEN c_mktsegment = 'BUILDING' THEN '' ELSE c_mktsegment END AS segment, coalesce(n_name, '') AS nation FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey ORDER BY c_acctbal DESC, c_custkey LIMIT 100")
 def export_rows(spark, sf_dir):
     from quire.operators.search import page

@@ -34,3 +34,9 @@ def test_whole_texts(spark, table):
     sf = table("documents", [(1, "fr", "\u00c9t\u00e9 " * 200)], "doc_id long, lang string, text string")
     assert rows_of(spark, "html_escape_all", sf) == [(1, "&lt;b&gt;&amp;" * 200)]
     assert rows_of(spark, "fold_text", sf) == [(1, "fr", "ete " * 200)]
+
+
+def test_an_entry_for_every_customer(spark, table):
+    sf = table("orders", [(c, 100 * c + k) for c in range(1, 21) for k in (2, 1)], "o_custkey long, o_orderkey long")
+    want = [(c, f"@misc{{d{c}, title={{Customer {c}}}, year={{1999}}, note={{paras. {100 * c + 1}, {100 * c + 2}}}}}") for c in range(1, 21)]
+    assert rows_of(spark, "bibtex_export_all", sf) == want
