@@ -269,6 +269,14 @@ def dotted_ids(spark, sf_dir):
     return keyed.select("o_orderkey", F.array_join(F.transform("k", lambda x: x.cast("string")), ",").alias("key"))
 
 
+@query("SELECT o_orderkey, array_to_string([o_custkey % 7, o_orderkey % 11, 3], ',') AS key FROM orders")
+def dotted_ids_all(spark, sf_dir):
+    """Of every order."""
+    text = F.concat((F.col("o_custkey") % 7).cast("string"), F.lit("."), (F.col("o_orderkey") % 11).cast("string"), F.lit(".3."))
+    key = F.transform(dotted_key(text), lambda x: x.cast("string"))
+    return tables(spark, sf_dir, "orders").select("o_orderkey", F.array_join(key, ",").alias("key"))
+
+
 @query(r"SELECT page_id, regexp_replace(regexp_replace(regexp_replace(trim(url), '^http://', 'https://'), '#.*$', ''), '/+$', '') AS url FROM pages")
 def url_normalise(spark, sf_dir):
     return tables(spark, sf_dir, "pages").select("page_id", normalise_url(F.col("url")).alias("url"))

@@ -256,6 +256,14 @@ def document_ids(spark, sf_dir):
     return corpus.document_ids(p, "sig", "stem").select("docId", "p_partkey")
 
 
+@query("SELECT docId, p_partkey FROM (SELECT p_partkey, CASE WHEN row_number() OVER (PARTITION BY slug ORDER BY stem) > 1 THEN slug || '-' || substr(sha1(stem), 1, 6) ELSE slug END AS docId FROM (SELECT p_partkey, stem, replace(replace(lower(CASE WHEN count(*) OVER (PARTITION BY sig) = 1 THEN sig ELSE stem END), '#', '-'), ' ', '-') AS slug FROM (SELECT p_partkey, p_brand || ' ' || p_size AS sig, p_name || CASE WHEN p_partkey % 2 = 1 THEN '-' ELSE ' ' END || p_partkey // 2 AS stem FROM part)))")
+def document_ids_all(spark, sf_dir):
+    """Of every part. Stems are distinct in a table of any size; two keys in a row with one name have the same slug."""
+    number = F.floor(F.col("p_partkey") / 2).cast("string")
+    p = t(spark, sf_dir, "part").select("p_partkey", F.concat_ws(" ", "p_brand", F.col("p_size").cast("string")).alias("sig"), F.concat("p_name", F.when(F.col("p_partkey") % 2 == 1, "-").otherwise(" "), number).alias("stem"))
+    return corpus.document_ids(p, "sig", "stem").select("docId", "p_partkey")
+
+
 @query("SELECT event_id FROM (SELECT *, lag(ts) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS p FROM events) WHERE p IS NULL OR ts > p + INTERVAL 90 MINUTE")
 def events_dedupe(spark, sf_dir):
     return streams.quiet(t(spark, sf_dir, "events"), ["user_id", "event_type"], 90 * 60).select("event_id")

@@ -40,3 +40,12 @@ def test_an_entry_for_every_customer(spark, table):
     sf = table("orders", [(c, 100 * c + k) for c in range(1, 21) for k in (2, 1)], "o_custkey long, o_orderkey long")
     want = [(c, f"@misc{{d{c}, title={{Customer {c}}}, year={{1999}}, note={{paras. {100 * c + 1}, {100 * c + 2}}}}}") for c in range(1, 21)]
     assert rows_of(spark, "bibtex_export_all", sf) == want
+
+
+def test_ids_of_every_row(spark, table):
+    sf = table("part", [(i, "Brand#1", 7, "a b") for i in range(1, 1201)], "p_partkey long, p_brand string, p_size int, p_name string")
+    got = rows_of(spark, "document_ids_all", sf)
+    by = {p: d for d, p in got}
+    assert len(got) == len(set(by.values())) == 1200 and by[1000] == "a-b-500" and by[1001].startswith("a-b-500-")
+    table("orders", [(i, i + 1) for i in range(150)], "o_orderkey long, o_custkey long")
+    assert rows_of(spark, "dotted_ids_all", sf) == [(i, f"{(i + 1) % 7},{i % 11},3") for i in range(150)]
