@@ -10,33 +10,54 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Rows that one (key, bucket) group of a distributed rank holds on average at most.
 ROWS_PER_BUCKET = 10_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which all executors share; a local one only where it is unset."""
-    return spark.conf.get("spark.checkpoint.dir", None) or "/tmp/quire-checkpoints"
+    """The folder in spark.checkpoint.dir, which all executors share. Unset, a local one on a local master; elsewhere an error."""
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir is unset: intermediates need a folder that all executors share")
+    return path or "/tmp/quire-checkpoints"
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """df, written as Parquet to the shared folder and read again: it cuts the lineage and outlives lost executors."""
+    """df, written as Parquet to the shared folder and read again: it cuts the lineage and outlives lost executors.
+
+    What forget() hasn't deleted goes when the application ends.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/quire-{uuid.uuid4().hex}"
+    files, p = _folder(spark, path)
+    files.deleteOnExit(p)
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._quire_path = path
     return out
 
 
+def _folder(spark: SparkSession, path: str) -> tuple:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def forget(df: DataFrame) -> None:
     """Delete what stored() wrote, once nothing reads it any more."""
     path = getattr(df, "_quire_path", None)
     if path:
-        jvm, sc = df.sparkSession._jvm, df.sparkSession.sparkContext
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+        files, p = _folder(df.sparkSession, path)
+        files.delete(p, True)
+
+
+def shielded(docs: DataFrame, own: list[str]) -> tuple[DataFrame, list[str]]:
+    """docs with every column but those in `own` renamed to _x0, _x1, ..., and the names that it had, for toDF().
+
+    No operator gives an inner column such a name, so extra columns may be called what they like.
+    """
+    return docs.toDF(*(c if c in own and c not in docs.columns[:i] else f"_x{i}" for i, c in enumerate(docs.columns))), docs.columns
 
 
 def sliced(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 24) -> Iterator[pa.RecordBatch]:
@@ -72,3 +93,8 @@ def with_rank(df: DataFrame, counts: DataFrame, keys: list[str], order: list[str
     inside = Window.partitionBy(*keys, bucket).orderBy(*order)
     ranked = df.withColumn("_inside", F.row_number().over(inside) - 1)
     return ranked.join(base, [*keys, bucket]).withColumn(rank, F.col("_base") + F.col("_inside")).drop("_base", "_inside")
+
+
+def schema_of(docs: DataFrame, keep: list[str], more: str) -> StructType:
+    """The fields of the columns in keep, whatever their kinds, and those of a DDL string."""
+    return StructType([*docs.select(*keep).schema.fields, *StructType.fromDDL(more).fields])

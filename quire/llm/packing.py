@@ -60,20 +60,23 @@ class WordTokenizer:
     """Ids of whole texts by a tokenizers file with a word rule as above.
 
     Words are independent in such a vocabulary, so texts up to U+00FF are split here and only new words
-    reach the tokenizer; any other text goes to it whole. Both ways give the same ids (tested).
+    reach the tokenizer; any other text, and one that holds an added token, goes to it whole. Both ways give
+    the same ids (tested).
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.words = WordIds(self.tokenizer)
+        added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)")
 
     def id_bytes(self, text: str) -> bytes:
-        if UNSURE.search(text):
+        low = text.lower()
+        if UNSURE.search(text) or self.added.search(low):
             return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        return b"".join(map(self.words.__getitem__, LATIN_WORD.findall(text.lower())))
+        return b"".join(map(self.words.__getitem__, LATIN_WORD.findall(low)))
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:

@@ -12,15 +12,21 @@ from tests.llm.data import documents, empty, texts
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
 
+TOKENIZER = Tokenizer.from_file(PATH)
+
+
 def reference_ids(text):
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t.encode(text or "", add_special_tokens=False).ids
+    return TOKENIZER.encode(text or "", add_special_tokens=False).ids
+
+
+def test_added_tokens_are_the_plain_tokenizer_s():
+    ids = array("I", packing.WordTokenizer(PATH).id_bytes("hello <|endoftext|> world")).tolist()
+    assert ids == [3306, 49407, 1002]
 
 
 def test_word_ids_equal_the_tokenizer_s():
     own = packing.WordTokenizer(PATH)
-    odd = ["aZ09'sll \t\n\x85\xa0ÀÿßµªºÆ×÷²½", "don't WE'VE 'tis it''s x'm'll", "A\x00B\x1c\x1dC", "ΑΣ Σ ς İ", "é é", "100%$$$***&&&", "‘q’—…"]
+    odd = ["aZ09'sll \t\n\x85\xa0ÀÿßµªºÆ×÷²½", "don't WE'VE 'tis it''s x'm'll", "A\x00B\x1c\x1dC", "ΑΣ Σ ς İ", "é é", "100%$$$***&&&", "‘q’—…", "hello <|endoftext|> world", "a<|startoftext|>b<|STARTOFTEXT|>", "<|endoftext|>", "<| endoftext|>"]
     for t in [*odd, *[x or "" for x in texts(60)]]:
         assert own.id_bytes(t) == array("I", reference_ids(t)).tobytes()
 
