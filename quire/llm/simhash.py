@@ -11,9 +11,9 @@ and with those that visit it from across a boundary, on all 64 bits, and reports
 near_groups() links 64-bit fingerprints at 4 bits, exactly. one_each() finds near copies by similarity:
 at a Jaccard similarity of 0.8, about 10 of 64 bits differ, far too many for the pigeonhole, so it takes
 WIDE_WORDS x 64 bits of distinct five-word shingles and WIDE_BLOCKS trees, of which one block suffices to
-agree. Links found so are confirmed on the shingles themselves and join up most families. What they miss
-is found exactly: of two texts at the similarity, the rarest shingles of each have one in common
-(rarest()), so those that share one and aren't joined yet are compared too.
+agree. Links found so are confirmed on the shingles themselves and join up most families cheaply. They
+decide nothing alone: of two texts at the similarity, the rarest shingles of each have one in common
+(rarest()), so all that share one and aren't joined yet are compared too (rest()), and no pair is lost.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import buckets_for, forget, stored
+from quire.llm.common import buckets_for, forget, schema_of, shielded, stored
 
 SHINGLE, SEED, RADIUS, BLOCKS = 4, 42, 4, 4
 #: Fingerprints that the driver draws to place vantage points, at most.
@@ -39,8 +39,8 @@ WIDE_SHINGLE, WIDE_WORDS, WIDE_BLOCKS, WIDE_BITS = 5, 8, 32, 12
 SIMILARITY = 0.8
 #: Fingerprints that a shard of a wide block is planned for: it sorts them by the block and compares only equals.
 WIDE_SHARD_ROWS = 8192
-#: Rows of one component that a task confirms at once.
-CONFIRM_ROWS = 1024
+#: Rows of one component that a task confirms at once, and bytes of their shingles' hashes.
+CONFIRM_ROWS, CONFIRM_BYTES = 1024, 1 << 27
 #: Distances that one task holds at once.
 CELLS = 1 << 20
 #: Shingles whose bits are counted at once.
@@ -168,11 +168,14 @@ def forest(fps: np.ndarray, home: np.ndarray, radius: int, cells: int = CELLS) -
     return label
 
 
-def in_parts(rows: DataFrame, keys: list[str], task_rows: int) -> DataFrame:
-    """rows with the task (i, j) of each: (0, 0), or in a group of over task_rows, its part with each part."""
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > task_rows)
-    many = stored(sizes.select(*keys, F.ceil(2 * F.col("n") / task_rows).cast("int").alias("parts")))
+def in_parts(rows: DataFrame, keys: list[str], task_rows: int, size: Column | None = None, task_size: int = 1) -> DataFrame:
+    """rows with the task (i, j) of each: (0, 0), or in a group of over task_rows (or whose sizes add up to over
+    task_size), its part with each part."""
+    tasks = F.greatest(F.count(F.lit(1)) / task_rows, F.sum(F.lit(0) if size is None else size) / task_size)
+    sizes = rows.groupBy(*keys).agg(tasks.alias("n")).where(F.col("n") > 1)
+    many = stored(sizes.select(*keys, F.ceil(2 * F.col("n")).cast("int").alias("parts")))
     if many.isEmpty():
+        forget(many)
         return rows.withColumn("i", F.lit(0)).withColumn("j", F.lit(0))
     parts = F.coalesce("parts", F.lit(1))
     rows = rows.join(many, keys, "left").withColumn("own", F.pmod(F.xxhash64("fp"), parts).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
@@ -326,7 +329,7 @@ def rarest(h: np.ndarray, similarity: float, common: tuple[np.ndarray, np.ndarra
 
 def wide_fingerprints(docs: DataFrame, keep: list[str], name: str = "fp", similarity: float = SIMILARITY, common: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
     """The columns in keep, `name` (a hash of the shingles) and wide (the fingerprint's bytes) of every whole text; given common, rare (the hashes of rarest()) and size (how many shingles) too."""
-    schema = "".join(f"`{c}` {t}, " for c, t in docs.select(*keep).dtypes) + f"{name} long, wide binary" + (", rare binary, size int" if common else "")
+    schema = schema_of(docs, keep, f"{name} long, wide binary" + (", rare binary, size int" if common else ""))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -402,8 +405,9 @@ def wide_forest(fps: np.ndarray, radius: int, cells: int = CELLS) -> np.ndarray:
 def wide_links(nodes: DataFrame, rows: int, similarity: float = SIMILARITY, shard_rows: int = WIDE_SHARD_ROWS, task_rows: int = TASK_ROWS) -> DataFrame:
     """(a, b): links between nodes(fp, wide) whose wide fingerprints are within wide_radius(), as each shard's forest; not all of them.
 
-    A tree for each block of WIDE_BITS bits, with radius 0. Of a pair at the similarity, a block agrees
-    with probability 0.138, so one of 32 does with 0.991; of a pair at 0.9, with more than 0.9999.
+    A tree for each block of WIDE_BITS bits, with radius 0. Of a pair at 0.8, a block agrees with
+    probability 0.138, so one of 32 does with 0.991; of a pair at 0.9, with more than 0.9999. Both this and
+    the radius lose pairs, most of all of short texts; rest() finds those.
     """
     per_word = 64 // WIDE_BITS
     blocks = [(b // per_word, ((1 << WIDE_BITS) - 1) << (WIDE_BITS * (b % per_word))) for b in range(WIDE_BLOCKS)]
@@ -460,25 +464,31 @@ def alike(wide: np.ndarray, sets: list[np.ndarray], radius: int, similarity: flo
         a, b = a[ahead], b[ahead]
         order = np.argsort(d[a, b], kind="stable")
         for x, y in zip((a[order] + at).tolist(), b[order].tolist(), strict=True):
-            if label[x] != label[y] and jaccard(sets[x], sets[y]) >= similarity:
+            if label[x] != label[y] and jaccard(sets[x], sets[y], similarity) >= similarity:
                 low, high = sorted((label[x], label[y]))
                 label[label == high] = low
     return label
 
 
-def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+def jaccard(a: np.ndarray, b: np.ndarray, least: float = 0.0) -> float:
+    """Similarity of two sorted sets; 0 where their sizes alone keep it under `least`."""
     if not len(a) and not len(b):
         return 1.0
-    if min(len(a), len(b)) < 0.5 * max(len(a), len(b)):
-        return 0.0  # below any similarity that is asked for
+    if min(len(a), len(b)) < least * max(len(a), len(b)) - 1e-9:
+        return 0.0
     both = len(a) + len(b) - len(np.union1d(a, b))
     return both / (len(a) + len(b) - both)
 
 
+def text_key(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit(b"")))
+
+
 def shingle_sets(docs: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame:
     """fp, root, wide and hashes (its shingles) for found(fp, root)."""
-    members = stored(found.join(nodes.select("fp", "first"), "fp"))
-    texts = docs.select("doc_id", F.col("text").cast("binary").alias("_text")).join(members.withColumnRenamed("first", "_first"), F.col("doc_id").eqNullSafe(F.col("_first")))
+    members = found.join(nodes.select("fp", F.col("first").alias("_first"), F.col("key").alias("_key")), "fp")
+    # the key keeps null ids, and other texts under one id, apart
+    texts = docs.select("doc_id", F.col("text").cast("binary").alias("_text")).join(members, F.col("doc_id").eqNullSafe(F.col("_first")) & (text_key(F.col("_text")) == F.col("_key")))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -494,16 +504,19 @@ def shingle_sets(docs: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFra
     return stored(texts.select("fp", "root", "_text").mapInArrow(read, "fp long, root long, wide binary, hashes binary"))
 
 
-def confirmed(docs: DataFrame, nodes: DataFrame, edges: DataFrame, similarity: float, task_rows: int = CONFIRM_ROWS) -> DataFrame:
+def confirmed(docs: DataFrame, nodes: DataFrame, edges: DataFrame, similarity: float, task_rows: int = CONFIRM_ROWS, task_size: int = CONFIRM_BYTES) -> DataFrame:
     """(a, b): links within the components of edges that hold on the shingles of the texts themselves.
 
-    Only members of a component meet, and a component of over task_rows is compared part by part.
+    Only members of a component meet, and a component of over task_rows, or of over task_size bytes of
+    hashes, is compared part by part.
     """
     roots = components(edges)
     rows = shingle_sets(docs, nodes, roots.select(F.col("node").alias("fp"), "root").unionByName(roots.select(F.col("root").alias("fp"), "root").distinct()))
-    buckets = buckets_for(20 * rows.count())
+    size = F.octet_length("hashes")
+    total = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("size")).first()
+    buckets = max(buckets_for(20 * total["n"]), -(-total["size"] // CONFIRM_BYTES))
     # large components have tasks of their own, the others share buckets
-    dealt = in_parts(rows, ["root"], task_rows).withColumn("bucket", F.pmod(F.xxhash64("root"), F.lit(buckets)).cast("int"))
+    dealt = in_parts(rows, ["root"], task_rows, size, task_size).withColumn("bucket", F.pmod(F.xxhash64("root"), F.lit(buckets)).cast("int"))
     radius = wide_radius(similarity)
 
     def compare(group: pa.Table) -> pa.Table:
@@ -551,7 +564,7 @@ def rest(docs: DataFrame, nodes: DataFrame, links_of: DataFrame, shared: DataFra
     def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = ([np.frombuffer(x.as_buffer(), np.uint64) for x in batch[f"hashes_{y}"]] for y in "ab")
-            holds = pa.array([jaccard(p, q) >= similarity for p, q in zip(*sets, strict=True)], pa.bool_())
+            holds = pa.array([jaccard(p, q, similarity) >= similarity for p, q in zip(*sets, strict=True)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch["fp_a"].filter(holds), batch["fp_b"].filter(holds)], names=["a", "b"])
 
     return pairs.mapInArrow(hold, "a long, b long")
@@ -577,10 +590,16 @@ def one_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of docs without near copies: of each component, the row with the smallest doc_id.
 
     Near copies are texts whose distinct five-word shingles have this Jaccard similarity or more. Wide fingerprints
-    find most pairs, rest() finds all others, and each is confirmed on the shingles. Of rows that repeat a doc_id and a text, one stays; a component of null ids alone keeps one row too.
+    find most pairs, rest() finds all others, and each is confirmed on the shingles. Texts without words (null, empty,
+    blank) are copies of each other. A null id is the smallest only among null ids. Of rows that repeat a doc_id and a
+    text, one stays; a component of null ids alone keeps one row too. An empty table gives no rows; extra columns stay,
+    whatever their names.
     """
-    marked = stored(wide_fingerprints(docs, ["doc_id"], similarity=similarity, common=common_shingles(docs)))
-    nodes = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first"), F.first("wide").alias("wide"), F.first("size").alias("size")))
+    docs, names = shielded(docs, ["doc_id", "text"])
+    keyed = docs.withColumn("_key", text_key(F.col("text").cast("binary")))
+    marked = stored(wide_fingerprints(keyed, ["doc_id", "_key"], similarity=similarity, common=common_shingles(docs)))
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_key")).alias("least")
+    nodes = stored(marked.groupBy("fp").agg(least, F.first("wide").alias("wide"), F.first("size").alias("size")).select("fp", F.col("least.doc_id").alias("first"), F.col("least._key").alias("key"), "wide", "size"))
     shared = stored(shared_shingles(marked))
     links_of = stored(confirmed(docs, nodes, wide_links(nodes, nodes.count(), similarity), similarity))
     more = stored(rest(docs, nodes, links_of, shared, similarity))
@@ -593,8 +612,8 @@ def one_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     kept = docs.join(ids.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
     rows = stays.agg(F.count(F.lit(1)).alias("ids"), F.sum("n").alias("rows"), F.countDistinct(F.coalesce("doc_id", F.lit(-1)), F.col("doc_id").isNull()).alias("different")).first()
     if rows["ids"] == rows["rows"] == rows["different"]:
-        return kept
+        return kept.toDF(*names)
     places = stays.select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"))
-    again = wide_fingerprints(kept.withColumnsRenamed({c: f"_c{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}), [f"_c{i}" if c not in ("doc_id", "text") else c for i, c in enumerate(docs.columns)], name="_simhash")
+    again = wide_fingerprints(kept, kept.columns, name="_simhash").drop("wide")
     rows = again.join(places, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_simhash") == F.col("_fp")), "left_semi").dropDuplicates(["doc_id", "_simhash"])
-    return rows.select(*(F.col(f"_c{i}" if c not in ("doc_id", "text") else c).alias(c) for i, c in enumerate(docs.columns)))
+    return rows.drop("_simhash").toDF(*names)

@@ -133,10 +133,10 @@ def jaccard(a, b):
 def brute_wide(text):
     words = (text or "").encode().lower().split()
     if not words:
-        return bytes(64)
+        return bytes(8 * simhash.WIDE_WORDS)
     hashes = {int.from_bytes(xxhash.xxh64_digest(b" ".join(words[i : i + 5]), 42), "little") for i in range(max(1, len(words) - 4))}
     cut, out = (1 << 64) - 1, b""
-    for i in range(8):
+    for i in range(simhash.WIDE_WORDS):
         spread = []
         for h in hashes:
             x = (h ^ int(simhash.MIX[i])) * int(simhash.MIX[0]) & cut
@@ -166,8 +166,8 @@ def test_near_copies_by_jaccard(spark, seed, task_rows):
     base = [" ".join(f"w{rng.randint(0, 3000)}" for _ in range(rng.choice([60, 150, 500]))) for _ in range(60)]
     rows = list(enumerate(base + [edited(rng, t, 0.012) for t in base[:40]] + [edited(rng, t, 0.15) for t in base[40:]] + base[:5]))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    marked = simhash.wide_fingerprints(docs, ["doc_id"])
-    nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("first"), F.first("wide").alias("wide"))
+    marked = simhash.wide_fingerprints(docs.withColumn("key", simhash.text_key(F.col("text").cast("binary"))), ["doc_id", "key"])
+    nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("first"), F.min_by("key", "doc_id").alias("key"), F.first("wide").alias("wide"))
     edges = simhash.confirmed(docs, nodes, simhash.wide_links(nodes, 105, shard_rows=16, task_rows=task_rows), 0.8, 1024 if task_rows > 1024 else 2)
     got = {r["fp"]: r["component_id"] for r in simhash.grouped(nodes.select("fp", "first"), edges).collect()}
     component = {r["doc_id"]: got[r["fp"]] for r in marked.collect()}
@@ -185,9 +185,9 @@ def test_family_of_copies_takes_few_trials(monkeypatch):
     text = " ".join(f"w{i}" for i in range(400))
     copies = [edited(rng, text, 0.004).encode() for _ in range(300)]
     tried = []
-    monkeypatch.setattr(simhash, "jaccard", lambda a, b, real=simhash.jaccard: tried.append(1) or real(a, b))
+    monkeypatch.setattr(simhash, "jaccard", lambda *sets, real=simhash.jaccard: tried.append(1) or real(*sets))
     sets = [simhash.shingle_hashes(c) for c in copies]
-    wide = np.frombuffer(b"".join(map(simhash.wide_fingerprint, sets)), np.uint64).reshape(-1, 8)
+    wide = np.frombuffer(b"".join(map(simhash.wide_fingerprint, sets)), np.uint64).reshape(-1, simhash.WIDE_WORDS)
     assert (simhash.alike(wide, sets, simhash.wide_radius(0.8), 0.8) == 0).all() and len(tried) < 600
 
 
@@ -204,6 +204,29 @@ def test_one_each(spark):
     assert simhash.one_each(empty(spark)).collect() == []
 
 
+def test_lower_similarities_lose_no_pair(spark):
+    shared, rest = [f"w{i}" for i in range(104)], [[f"{c}{i}" for i in range(60)] for c in "xyz"]
+    a, b, c = " ".join(shared[:49]), " ".join(shared[:49] + rest[0][:54]), " ".join(rest[1])
+    assert 0.4 < jaccard(a, b) < 0.5 and simhash.jaccard(*(simhash.shingle_hashes(t.encode()) for t in (a, b)), 0.4) == jaccard(a, b)
+    kept = simhash.one_each(spark.createDataFrame([(1, a), (2, b), (3, c)], "doc_id long, text string"), similarity=0.4)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3]
+
+
+def test_many_null_ids_meet_only_their_own_texts(spark):
+    rows = [(None, f"text number {i % 50} of all") for i in range(200)]
+    assert simhash.one_each(spark.createDataFrame(rows, "doc_id long, text string")).count() == 50
+
+
+def test_large_components_by_size(spark):
+    rng = random.Random(9)
+    base = " ".join(f"w{i}" for i in range(200))
+    docs = spark.createDataFrame(list(enumerate([base, *(edited(rng, base, 0.005) for _ in range(30))])), "doc_id long, text string").withColumn("key", simhash.text_key(F.col("text").cast("binary")))
+    nodes = simhash.wide_fingerprints(docs, ["doc_id", "key"]).withColumnRenamed("doc_id", "first")
+    edges = nodes.agg(F.min("fp").alias("b")).join(nodes.select(F.col("fp").alias("a"))).where("a <> b")
+    got = simhash.grouped(nodes.select("fp", "first"), simhash.confirmed(docs, nodes, edges, 0.8, task_size=5000))
+    assert {r["component_id"] for r in got.collect()} == {0}
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_one_each_keeps_no_near_copy_of_any_length(spark, seed):
     """Short texts and texts of unequal length, which wide fingerprints alone lose: all pairs at 0.8 or more are joined."""
