@@ -2,11 +2,13 @@
 
 decode() reads any GIF (87a or 89a): sub-blocks, variable code widths, deferred clears, local palettes,
 interlacing, disposal 0 to 3 and transparent indices. write() stores bytes losslessly as 8-bit samples,
-one palette index a byte, in rows of 64; long payloads become several timed frames.
+one palette index a byte, in rows of 64, as LZW codes with growing tables; long payloads become several
+timed frames.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import struct
 import zlib
@@ -24,8 +26,8 @@ FRAME_ROWS, DELAY = 2048, 4
 #: Levels of each colour channel in a histogram.
 LEVELS = 4
 GREY = np.repeat(np.arange(256, dtype=np.uint8)[:, None], 3, axis=1)
-#: Codes between two clears of a written stream: with 9-bit codes the table stays under 512 entries.
-RUN = 254
+#: Pixels of a canvas at most, unless a frame fills a quarter of it: a header alone may claim any size.
+MOST_PIXELS = 1 << 24
 
 
 class GifError(ValueError):
@@ -46,141 +48,127 @@ class Frame:
     shown: np.ndarray
 
 
-def literal_codes(stream: np.ndarray, n: int) -> np.ndarray | None:
-    """The samples, if the stream is 9-bit literals with a clear before each RUN of them; else None."""
-    runs = -(-n // RUN)
-    total = n + runs + 1
-    if len(stream) != -(-total * 9 // 8):
-        return None
-    groups = -(-total // 8)
-    padded = np.zeros(groups * 9, np.uint16)
-    padded[: len(stream)] = stream
-    rows = padded.reshape(groups, 9)
-    codes = np.empty((groups, 8), np.uint16)
-    for i in range(8):
-        codes[:, i] = ((rows[:, i] >> i) | (rows[:, i + 1] << (8 - i))) & 511
-    codes = codes.reshape(-1)[:total]
-    if codes[-1] != 257 or (codes[: total - 1 : RUN + 1] != 256).any():
-        return None
-    is_data = np.ones(total, bool)
-    is_data[: total - 1 : RUN + 1] = False
-    is_data[-1] = False
-    data = codes[is_data]
-    return data.astype(np.uint8) if len(data) == n and (data < 256).all() else None
+@functools.cache
+def code_widths(least: int) -> np.ndarray:
+    """Bits of the j-th code after a clear, for j up to 4095 (and all later ones): the table grows by one entry a code."""
+    j = np.arange(4096)
+    return np.minimum(12, np.floor(np.log2(j + (1 << least) + 1)).astype(np.int64) + 1)
 
 
-def unlzw(stream: bytes, least: int, n: int) -> np.ndarray:
-    """Samples of an LZW code stream with minimum code size `least`; n of them at most.
+def read_codes(stream: np.ndarray, bit: int, widths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(codes, bit after each) of codes of these widths from a bit on; as many as the stream (with two bytes behind it) has."""
+    stops = bit + np.cumsum(widths)
+    n = int(np.searchsorted(stops, 8 * (len(stream) - 2), "right"))
+    stops, widths = stops[:n], widths[:n]
+    at = stops - widths
+    byte = at >> 3
+    three = stream[byte].astype(np.int64) | stream[byte + 1].astype(np.int64) << 8 | stream[byte + 2].astype(np.int64) << 16
+    return three >> (at & 7) & ((1 << widths) - 1), stops
+
+
+def strings(codes: np.ndarray, clear: int, most: int) -> np.ndarray:
+    """The samples, `most` at most, of the codes between two clears.
 
-    A table entry is a stretch of the output itself: where the code before it began, one sample longer.
-    So entries are two numbers each, and a code copies a slice.
+    The entry that code j completes is what code j - 1 gave and one sample more, so each code is a stretch of the
+    output itself. Lengths and samples follow their references by pointer doubling, all codes at once.
     """
+    j = np.arange(len(codes))
+    refers = codes > clear
+    entry = np.where(refers, codes - clear - 2, j)  # the code whose stretch, and one more sample, this one repeats
+    # an entry is there once the code after its own has begun; a full table takes no more
+    if (entry[refers] >= j[refers]).any():
+        raise GifError("code before its entry")
+    length, to = refers.astype(np.int64), entry
+    while True:
+        more = to[to]
+        if (more == to).all():
+            break
+        length, to = length + np.where(to != j, length[to], 0), more
+    length += 1
+    stops = np.cumsum(length)
+    use = int(np.searchsorted(stops, most)) + 1
+    codes, refers, entry, length, stops = codes[:use], refers[:use], entry[:use], length[:use], stops[:use]
+    if not len(codes):
+        return np.zeros(0, np.uint8)
+    starts = stops - length
+    total = int(min(stops[-1], most))
+    shift = np.where(refers, starts - starts[entry], 0)
+    source = np.arange(total) - np.repeat(shift, length)[:total]
+    while True:
+        nearer = source[source]
+        if (nearer == source).all():
+            break
+        source = nearer
+    first = np.zeros(total, np.uint8)
+    literal = ~refers & (starts < total)
+    first[starts[literal]] = codes[literal]
+    return first[source]
+
+
+def unlzw(stream: bytes, least: int, n: int) -> np.ndarray:
+    """Samples of an LZW code stream with minimum code size `least`; n of them at most."""
     if not 1 <= least <= 11:
         raise GifError(f"code size {least}")
-    if least == 8 and (fast := literal_codes(np.frombuffer(stream, np.uint8), n)) is not None:
-        return fast
     clear, end = 1 << least, (1 << least) + 1
-    out = bytearray()
-    starts, ends = [], []
-    width, last, bits, held, at = least + 1, None, 0, 0, 0
-    while len(out) < n:
-        while held < width and at < len(stream):
-            bits |= stream[at] << held
-            held += 8
-            at += 1
-        if held < width:
-            break
-        code = bits & ((1 << width) - 1)
-        bits >>= width
-        held -= width
-        if code == clear:
-            starts, ends, width, last = [], [], least + 1, None
-            continue
-        if code == end:
-            break
-        here = len(out)
-        if last is not None and len(starts) + end + 1 < 4096:
-            starts.append(last)
-            ends.append(here + 1)  # the entry's last sample is the first one that this code gives
-        if code < clear:
-            out.append(code)
-        else:
-            k = code - end - 1
-            if k >= len(starts):
-                raise GifError(f"code {code} before its entry")
-            a, b = starts[k], ends[k]
-            if b <= here:
-                out += out[a:b]
-            else:
-                out += out[a:here]
-                out.append(out[a])
-        last = here
-        if len(starts) + end + 1 + 1 > (1 << width) and width < 12:
-            width += 1
-    return np.frombuffer(bytes(out[:n]), np.uint8)
+    raw = np.frombuffer(stream + b"\0\0", np.uint8)
+    widths = code_widths(least)
+    out, have, bit, ended = [], 0, 0, False
+    while have < n and not ended:
+        codes, stops, chunk = np.zeros(0, np.int64), np.zeros(0, np.int64), 512
+        while True:  # up to the next clear, end or the stream's end
+            j = np.arange(len(codes), len(codes) + chunk)
+            more, ends = read_codes(raw, int(stops[-1]) if len(stops) else bit, widths[np.minimum(j, 4095)])
+            marks = np.flatnonzero((more == clear) | (more == end))
+            codes, stops = np.concatenate([codes, more]), np.concatenate([stops, ends])
+            if len(marks):
+                at = len(codes) - len(more) + int(marks[0])
+                ended, bit, codes = bool(codes[at] == end), int(stops[at]), codes[:at]
+                break
+            if len(more) < chunk:
+                ended = True
+                break
+            chunk = min(4 * chunk, 1 << 16)
+        part = strings(codes, clear, n - have)
+        out.append(part)
+        have += len(part)
+    return np.concatenate(out) if out else np.zeros(0, np.uint8)
 
 
 def lzw(samples: bytes, least: int = 8) -> bytes:
     """An LZW code stream that grows its table to 4096 entries, then clears it."""
     clear, end = 1 << least, (1 << least) + 1
-    out, bits, held = bytearray(), 0, 0
-    table = {bytes([i]): i for i in range(clear)}
-    fresh, width, word = dict(table), least + 1, b""
-
-    def put(code: int) -> None:
-        nonlocal bits, held
-        bits |= code << held
-        held += width
-        while held >= 8:
-            out.append(bits & 255)
-            bits >>= 8
-            held -= 8
-
-    put(clear)
-    for i in range(len(samples)):
-        longer = word + samples[i : i + 1]
-        if longer in table:
-            word = longer
+    codes, table, free = [clear], {}, end + 1
+    rest = iter(samples)
+    word = next(rest, None)
+    put, known = codes.append, table.get
+    for sample in rest:
+        longer = word << 8 | sample
+        code = known(longer)
+        if code is not None:
+            word = code
             continue
-        put(table[word])
-        code = len(table) + 2
-        if code < 4096:
-            table[longer] = code
-            if code == 1 << width:
-                width += 1
+        put(word)
+        if free < 4096:
+            table[longer] = free
+            free += 1
         else:
             put(clear)
-            table, width = dict(fresh), least + 1
-        word = samples[i : i + 1]
-    if word:
-        put(table[word])
-        if len(table) + 2 == 1 << width and width < 12:
-            width += 1
+            table.clear()
+            free = end + 1
+        word = sample
+    if word is not None:
+        put(word)
     put(end)
-    if held:
-        out.append(bits & 255)
-    return bytes(out)
-
-
-def literal_stream(samples: np.ndarray) -> bytes:
-    """A valid code stream of 9-bit literals: a clear before each RUN of them keeps the width."""
-    n = len(samples)
-    runs = -(-n // RUN)
-    total = n + runs + 1
-    groups = -(-total // 8)
-    codes = np.zeros(groups * 8, np.uint16)
-    is_data = np.ones(total, bool)
-    is_data[: total - 1 : RUN + 1] = False
-    is_data[-1] = False
-    codes[:total][is_data] = samples
-    codes[: total - 1 : RUN + 1] = 256
-    codes[total - 1] = 257
-    rows = codes.reshape(groups, 8)
-    packed = np.zeros((groups, 9), np.uint16)
-    for i in range(8):
-        packed[:, i] |= (rows[:, i] << i) & 255
-        packed[:, i + 1] |= rows[:, i] >> (8 - i)
-    return packed.astype(np.uint8).tobytes()[: -(-total * 9 // 8)]
+    codes = np.array(codes, np.int64)
+    after = np.arange(len(codes))
+    last = np.maximum.accumulate(np.where(codes == clear, after, 0))
+    j = after - 1 - np.append(0, last[:-1])  # codes since the clear before
+    widths = code_widths(least)[np.clip(j, 0, 4095)]
+    stops = np.cumsum(widths)
+    at = stops - widths
+    value, byte, size = codes << (at & 7), at >> 3, int(stops[-1] + 7) // 8
+    out = sum(np.bincount(byte + i, weights=(value >> 8 * i & 255), minlength=size + 2) for i in range(3))
+    return out.astype(np.uint8)[:size].tobytes()
 
 
 def sub_blocks(data: bytes) -> bytes:
@@ -191,20 +179,15 @@ def sub_blocks(data: bytes) -> bytes:
     return rows.tobytes() + (bytes([len(rest)]) + rest if rest else b"") + b"\0"
 
 
-def write(payload: bytes, width: int = WIDTH, frame_rows: int = FRAME_ROWS, compress: bool = False) -> bytes:
-    """A GIF89a whose frames' palette indices are the payload; its length must be a positive multiple of width.
-
-    compress grows LZW tables, sample by sample; without it, codes are literals and packing is a few
-    array operations. Both are valid code streams for any decoder.
-    """
+def write(payload: bytes, width: int = WIDTH, frame_rows: int = FRAME_ROWS) -> bytes:
+    """A GIF89a whose frames' palette indices are the payload; its length must be a positive multiple of width."""
     rows = len(payload) // width
     if not rows or len(payload) % width:
         raise GifError("payload must be a positive multiple of the width")
     out = [b"GIF89a", struct.pack("<HHBBB", width, min(rows, frame_rows), 0xF7, 0, 0), GREY.tobytes()]
     for at in range(0, rows, frame_rows):
         samples = payload[at * width : (at + frame_rows) * width]
-        code = lzw(samples) if compress else literal_stream(np.frombuffer(samples, np.uint8))
-        out += [b"\x21\xf9\x04", struct.pack("<BHB", 1 << 2, DELAY, 0), b"\0", b"\x2c", struct.pack("<HHHHB", 0, 0, width, len(samples) // width, 0), b"\x08", sub_blocks(code)]
+        out += [b"\x21\xf9\x04", struct.pack("<BHB", 1 << 2, DELAY, 0), b"\0", b"\x2c", struct.pack("<HHHHB", 0, 0, width, len(samples) // width, 0), b"\x08", sub_blocks(lzw(samples))]
     return b"".join([*out, b"\x3b"])
 
 
@@ -249,7 +232,7 @@ def _frames(view: memoryview) -> Iterator[Frame]:
         return b"".join(parts)
 
     shared = palette(flags & 7) if flags & 0x80 else None
-    canvas, shown = np.zeros((height, width, 3), np.uint8), np.zeros((height, width), bool)
+    canvas = shown = None
     delay, disposal, transparent = 0, 0, None
     while (kind := view[at]) != 0x3B:
         at += 1
@@ -271,6 +254,10 @@ def _frames(view: memoryview) -> Iterator[Frame]:
             samples = unlzw(blocks(), least, w * h)
             if len(samples) < w * h:
                 raise GifError("too few samples")
+            if canvas is None:
+                if height * width > max(MOST_PIXELS, 4 * len(samples)):
+                    raise GifError(f"canvas of {width} x {height}")
+                canvas, shown = np.zeros((height, width, 3), np.uint8), np.zeros((height, width), bool)
             indices = samples.reshape(h, w)
             if packed & 0x40:
                 rows = np.empty_like(indices)
@@ -302,6 +289,14 @@ def histogram(colours: np.ndarray, levels: int = LEVELS) -> np.ndarray:
     return np.bincount(box, minlength=levels**3)
 
 
+def timed(data: bytes) -> Iterator[tuple[int, int, Frame, np.ndarray]]:
+    """(number, milliseconds before it, frame, colour histogram of what has been drawn so far) of each frame."""
+    at = 0
+    for i, frame in enumerate(decode(data)):
+        yield i, at, frame, histogram(frame.canvas[frame.shown])
+        at += frame.delay_ms
+
+
 FRAMES = "frame int, at_ms long, delay_ms int, left int, top int, width int, height int, disposal int, transparent int, rgb binary, histogram array<long>"
 
 
@@ -320,12 +315,11 @@ def frames(media: DataFrame, key: str, column: str) -> DataFrame:
 
         for batch in batches:
             for k, data in zip(batch[key], batch[column], strict=True):
-                rows, at = [], 0
+                rows = []
                 try:
-                    for i, f in enumerate(decode(data.as_py() or b"")):
+                    for i, at, f, boxes in timed(data.as_py() or b""):
                         h, w, _ = f.canvas.shape
-                        rows.append((i, at, f.delay_ms, f.left, f.top, w, h, f.disposal, f.transparent, f.canvas.tobytes(), histogram(f.canvas[f.shown]).tolist(), None))
-                        at += f.delay_ms
+                        rows.append((i, at, f.delay_ms, f.left, f.top, w, h, f.disposal, f.transparent, f.canvas.tobytes(), boxes.tolist(), None))
                 except GifError as e:
                     rows.append((*[None] * len(fields), str(e)))
                 if rows:
@@ -344,25 +338,25 @@ def padded(text: bytes, unit: int = WIDTH) -> bytes:
     return text + bytes(max(unit, -(-len(text) // unit) * unit) - len(text))
 
 
-def stored_text(text: bytes, compress: bool = False) -> tuple:
-    """What the digest columns hold of one text: the payload as the decoder reads it back, and its histogram."""
-    media = write(padded(text), compress=compress)
-    sha, tail, size, n, total = hashlib.sha256(), b"", 0, 0, np.zeros(LEVELS**3, np.int64)
-    for frame in decode(media):
+def stored_text(text: bytes) -> tuple:
+    """What the digest columns hold of one text: the payload as the decoder reads it back, and its timed frames' histogram."""
+    media = write(padded(text))
+    sha, tail, size, ms, total = hashlib.sha256(), b"", 0, 0, np.zeros(LEVELS**3, np.int64)
+    for i, at, frame, boxes in timed(media):
         h, w = frame.indices.shape
         box = frame.canvas[frame.top : frame.top + h, frame.left : frame.left + w]
         back = np.ascontiguousarray(box[:, :, 0]).tobytes()  # grey level = index
         sha.update(back)
-        tail, size, n = (tail + back)[-64:], size + len(back), n + 1
-        total += histogram(box)
+        tail, size, n, ms = (tail + back)[-64:], size + len(back), i + 1, at + frame.delay_ms
+        total += boxes
     boxes = ",".join(f"{i}:{v}" for i, v in enumerate(total.tolist()) if v)
-    return len(text), size, sha.hexdigest(), zlib.crc32(tail), len(media), hashlib.sha256(media).hexdigest(), f"frames={n};ms={n * DELAY * 10};{boxes}"
+    return len(text), size, sha.hexdigest(), zlib.crc32(tail), len(media), hashlib.sha256(media).hexdigest(), f"frames={n};ms={ms};{boxes}"
 
 
 TEXT_COLUMNS = "n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
 
-def store_texts(docs: DataFrame, compress: bool = False) -> DataFrame:
+def store_texts(docs: DataFrame) -> DataFrame:
     """doc_id and TEXT_COLUMNS for every row: each whole text written as a GIF, decoded again and described.
 
     A null text is empty, and an empty one is 64 zero bytes. Equal texts give equal values. An empty
@@ -373,7 +367,7 @@ def store_texts(docs: DataFrame, compress: bool = False) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [stored_text(x.as_buffer().to_pybytes() if x.is_valid else b"", compress) for x in batch["_text"]]
+            rows = [stored_text(x.as_buffer().to_pybytes() if x.is_valid else b"") for x in batch["_text"]]
             cols = list(zip(*rows, strict=True)) or [[]] * len(kinds)
             yield pa.RecordBatch.from_arrays([batch["doc_id"], *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], names=names)
 
