@@ -1,8 +1,9 @@
 """Quality rules at two levels: each document's own statistics, and verdicts over its host.
 
 The base rules fail single documents. Their failures are counted by host; a host's rate is shrunk
-towards the corpus with a beta prior fitted to all hosts by the method of moments, and a host whose
-shrunk rate passes the limit takes all its documents along.
+towards the corpus with a beta prior fitted to all hosts by the method of moments. A host takes all its
+documents along if its posterior stands out from the corpus: the shrunk rate is above the prior's mean by
+BOUND posterior standard deviations, or above MAX_HOST_RATE whatever the corpus is like.
 """
 
 from __future__ import annotations
@@ -21,8 +22,8 @@ SPACES = b" \t\n\x0b\x0c\r"
 MIN_WORDS = 50
 #: A document fails if more than this share of its words, in percent, stands in repeated windows.
 MAX_REPEATED = 50
-#: A host whose shrunk failure rate is above this goes as a whole.
-MAX_HOST_RATE = 0.8
+#: A host goes as a whole if its shrunk failure rate is above this, or above the corpus's by so many standard deviations.
+MAX_HOST_RATE, BOUND = 0.8, 1.0
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -75,11 +76,12 @@ def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
 
 
-def host_verdicts(judged: DataFrame, host: str = "host", failed: str = "base_failed", max_rate: float = MAX_HOST_RATE) -> DataFrame:
+def host_verdicts(judged: DataFrame, host: str = "host", failed: str = "base_failed", max_rate: float = MAX_HOST_RATE, bound: float = BOUND) -> DataFrame:
     """host, n, failures, rate (shrunk) and host_failed. One row a host; a null host is one too.
 
     The prior's mean and variance are those of the hosts' rates, each host weighing alike. Without
     spread between hosts, or with one host, the prior weighs as much as the whole corpus, and all rates are its mean.
+    The posterior of a host's rate is a beta distribution of n + weight trials; its deviation is sqrt(rate (1 - rate) / (n + weight + 1)).
     """
     hosts = judged.groupBy(host).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(failed).cast("long")).alias("failures"))
     rate = F.col("failures") / F.col("n")
@@ -88,10 +90,13 @@ def host_verdicts(judged: DataFrame, host: str = "host", failed: str = "base_fai
     weight = F.when((F.col("var") > 0) & (spread > F.col("var")), spread / F.col("var") - 1).otherwise(F.col("rows").cast("double"))
     prior = prior.select("mean", weight.alias("weight"))
     shrunk = (F.col("failures") + F.col("mean") * F.col("weight")) / (F.col("n") + F.col("weight"))
-    return hosts.join(F.broadcast(prior)).select(host, "n", "failures", shrunk.alias("rate"), (shrunk > max_rate).alias("host_failed"))
+    rates = hosts.join(F.broadcast(prior)).withColumn("rate", shrunk)
+    deviation = F.sqrt(F.col("rate") * (1 - F.col("rate")) / (F.col("n") + F.col("weight") + 1))
+    out = (F.col("rate") > max_rate) | (F.col("rate") > F.col("mean") + bound * deviation)
+    return rates.select(host, "n", "failures", "rate", out.alias("host_failed"))
 
 
-def judge(docs: DataFrame, host: str = "source", max_rate: float = MAX_HOST_RATE) -> DataFrame:
+def judge(docs: DataFrame, host: str = "source", max_rate: float = MAX_HOST_RATE, bound: float = BOUND) -> DataFrame:
     """doc_id, host, STATS, base_failed and kept for every row.
 
     Null and empty texts have no words and fail. Hosts are few next to documents: their verdicts come
@@ -100,6 +105,6 @@ def judge(docs: DataFrame, host: str = "source", max_rate: float = MAX_HOST_RATE
     often as they come; other columns are not read.
     """
     stats = stored(with_stats(docs.select("doc_id", F.col(host).alias("host"), "text"), ["doc_id", "host"]).withColumn("base_failed", base_failed()))
-    verdicts = host_verdicts(stats).select(F.col("host").alias("_host"), "host_failed")
+    verdicts = host_verdicts(stats, max_rate=max_rate, bound=bound).select(F.col("host").alias("_host"), "host_failed")
     joined = stats.join(verdicts, F.col("host").eqNullSafe(F.col("_host")), "left")
     return joined.withColumn("kept", ~F.col("base_failed") & ~F.col("host_failed")).drop("_host", "host_failed")

@@ -47,7 +47,7 @@ def op6_gif(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = url_rules.rule_table(spark, url_rules.RULES)
-    return url_rules.judge(table(spark, sf_dir, "pages"), rules, path_lengths=sorted({len(r[2]) for r in url_rules.RULES}))
+    return url_rules.judge(table(spark, sf_dir, "pages"), rules, *url_rules.lengths(url_rules.RULES))
 
 
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,7 +87,8 @@ stats AS (SELECT doc_id, source, len(w)::BIGINT AS n_words, length(regexp_replac
 failed AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM stats),
 hosts AS (SELECT source, count(*) AS n, sum(base_failed::INT) AS k FROM failed GROUP BY source),
 prior AS (SELECT m, CASE WHEN v > 0 AND m * (1 - m) > v THEN m * (1 - m) / v - 1 ELSE r END AS weight FROM (SELECT avg(k / n) AS m, var_samp(k / n) AS v, sum(n) AS r FROM hosts)),
-verdicts AS (SELECT source, (k + m * weight) / (n + weight) > 0.8 AS host_failed FROM hosts, prior)
+rates AS (SELECT source, m, n + weight + 1 AS trials, (k + m * weight) / (n + weight) AS rate FROM hosts, prior),
+verdicts AS (SELECT source, rate > 0.8 OR rate > m + sqrt(rate * (1 - rate) / trials) AS host_failed FROM rates)
 SELECT f.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT host_failed AS kept
 FROM failed f JOIN verdicts v ON f.source IS NOT DISTINCT FROM v.source
 """
