@@ -15,18 +15,22 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Language families; a label that is not listed is a family of its own.
+from quire.llm.common import schema_of, shielded
+
+#: Language families; labels that aren't listed make up the family OTHER.
 FAMILIES = {"germanic": ("en", "de", "nl", "sv", "da", "no"), "romance": ("fr", "es", "it", "pt", "ro", "ca"), "slavic": ("ru", "uk", "pl", "cs", "sk", "bg")}
+OTHER = "other"
 BITS = 12
-#: Labelled documents of each language that training reads, about.
-SAMPLE = 500
+#: Labelled texts of each language that training reads, about, and languages that are learned at most (those with most
+#: different texts). Machines are trained for pairs, so both bound the driver's work, however dirty the labels are.
+SAMPLE, LANGUAGES = 500, 32
 UNKNOWN = "und"
 #: Texts are read in pieces of so many bytes, which bounds the memory of a very long one.
 PIECE = 1 << 20
 
 
 def family_of(lang: str) -> str:
-    return next((f for f, members in FAMILIES.items() if lang in members), lang)
+    return next((f for f, members in FAMILIES.items() if lang in members), OTHER)
 
 
 def features(text: bytes) -> np.ndarray:
@@ -122,19 +126,23 @@ def predict(model: dict | None, text: str | None) -> tuple[str, float]:
     return lang, sure * surer
 
 
-def learn(labelled: DataFrame, sample: int = SAMPLE) -> dict | None:
-    """Machines from (text, lang), a sample of about `sample` rows a language, chosen by a hash of the text.
+def learn(labelled: DataFrame, sample: int = SAMPLE, languages: int = LANGUAGES) -> dict | None:
+    """Machines from (text, lang): about `sample` different texts a language, chosen by a hash of the text, of the
+    `languages` labels with most different texts.
 
-    The sample's feature vectors, not texts, reach the driver: at most about sample x languages vectors
-    of 2**BITS floats. Null languages and texts are left out. None if no row is left.
+    The share that is drawn follows from the number of different texts (as a sketch estimates it), so a text
+    that fills a language with copies doesn't crowd out the others. The sample's feature vectors, not texts,
+    reach the driver: at most about sample x languages vectors of 2**BITS floats. Null languages and texts are
+    left out. None if no row is left.
     """
-    known = labelled.where("lang is not null and text is not null")
-    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    known = labelled.select("text", "lang").where("lang is not null and text is not null")
+    different = known.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text")).alias("n")).orderBy(F.desc("n"), "lang").limit(languages)
+    sizes = {r["lang"]: r["n"] for r in different.collect()}
     if not sizes:
         return None
     share = F.lit(0.0)
     for lang, n in sorted(sizes.items()):
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, sample / n))).otherwise(share)
+        share = F.when(F.col("lang") == lang, F.lit(min(1.0, sample / max(1, n)))).otherwise(share)
     drawn = known.withColumn("_h", F.xxhash64("text")).where(F.pmod("_h", F.lit(1 << 20)) < share * (1 << 20)).dropDuplicates(["lang", "_h"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,7 +160,6 @@ def learn(labelled: DataFrame, sample: int = SAMPLE) -> dict | None:
 def identify(docs: DataFrame, model: dict | None, keep: list[str], text: str = "text") -> DataFrame:
     """The columns in keep, lang_pred and score for every row, by predict() over the whole text."""
     source = text if text in keep else "_text"
-    keep_schema = "".join(f"`{c}` {t}, " for c, t in docs.select(*keep).dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -160,7 +167,7 @@ def identify(docs: DataFrame, model: dict | None, keep: list[str], text: str = "
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in keep), pa.array([a for a, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())], names=[*keep, "lang_pred", "score"])
 
     read = [] if text in keep else [F.col(text).alias("_text")]
-    return docs.select(*keep, *read).mapInArrow(run, keep_schema + "lang_pred string, score double")
+    return docs.select(*keep, *read).mapInArrow(run, schema_of(docs, keep, "lang_pred string, score double"))
 
 
 def held_out(doc_id: Column, folds: int = 5) -> Column:
@@ -176,3 +183,15 @@ def label(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """
     split = docs.select("doc_id", "text", "lang", held_out(F.col("doc_id")).alias("held_out"))
     return identify(split, learn(split.where("not held_out"), sample), ["doc_id", "held_out"])
+
+
+def relabelled(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """The rows of docs whose text is in a language that was learned, with lang as predicted.
+
+    Texts that are null, empty or without a letter go, as does every row where no row has a label. Repeated rows
+    stay as often as they come, texts of any length are read whole, an empty table gives no rows, and extra
+    columns stay, whatever their names.
+    """
+    rows, names = shielded(docs, ["doc_id", "text", "lang"])
+    found = identify(rows, learn(rows.where(~held_out(rows["doc_id"])), sample), [c for c in rows.columns if c != "lang"])
+    return found.where(found["lang_pred"] != UNKNOWN).withColumnRenamed("lang_pred", "lang").select(*rows.columns).toDF(*names)

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import buckets_for, forget, stored
+from quire.llm.common import buckets_for, forget, shielded, stored
 
 LEVELS = ["domain", "lang", "source"]
 #: Integer weights by level and name; other names weigh DEFAULT_WEIGHT.
@@ -132,14 +132,20 @@ def mix(docs: DataFrame, weights: dict = WEIGHTS, budget_percent: int = BUDGET_P
 
 
 def choose(docs: DataFrame, weights: dict = WEIGHTS, budget_percent: int = BUDGET_PERCENT, seed: int = SEED) -> DataFrame:
-    """The rows of docs that one epoch of mix() reads, whole and with all their columns; texts aren't shuffled."""
+    """The rows of docs that one epoch of mix() reads, whole and with all their columns; texts aren't shuffled.
+
+    Null and empty texts, and those without words, go. Null languages and sources are leaves named by the empty
+    text; null ids share a place in their leaf's order, as rows that repeat an id do, and stay or go together. An
+    empty table gives no rows; texts of any length count whole; extra columns stay, whatever their names.
+    """
+    docs, names = shielded(docs, ["doc_id", "text", "lang", "source"])
     counted = stored(count_tokens(docs))
     plan = stored(cuts(counted, weights, budget_percent, 1, seed))
     forget(counted)
-    names = [F.col(c).alias(f"_{c}") for c in LEVELS]
-    rows = leaf_columns(docs).join(plan.select(*names, "full", "cut_key"), [f"_{c}" for c in LEVELS])
+    leaf = [F.col(c).alias(f"_{c}") for c in LEVELS]
+    rows = leaf_columns(docs).join(plan.select(*leaf, "full", "cut_key"), [f"_{c}" for c in LEVELS])
     rows = rows.where((F.col("full") > 0) | (order_key(F.col("full") + 1, seed) <= F.col("cut_key"))).where(tokens_of(F.col("text")) > 0)
-    return rows.select(*(docs[c] for c in docs.columns))
+    return rows.select(*(docs[c] for c in docs.columns)).toDF(*names)
 
 
 ORACLE = r"""

@@ -3,7 +3,8 @@
 All windows of LENGTH bytes are dealt out by an anchor: of the GRAM-byte strings in a window, the one with
 the least hash (the last of equals). Equal windows have equal anchors, so they meet. Neighbouring windows
 with one anchor travel as one segment, and first only as hashes: equal segments are settled by their
-earliest one. Where an anchor is left with different segments, their bytes follow, cut in two at the
+earliest one (at 64 bits of hash and 32 or more of anchor: among n different segments that share a bucket and
+an anchor, some two are taken for equal with a chance under n squared / 2**65). Where an anchor is left with different segments, their bytes follow, cut in two at the
 anchor so that each part's windows share over half their bytes. A shard joins its parts to one text and
 runs the named method on it: breadth-first backward extension on the Burrows-Wheeler transform, by
 increasing common prefix, which stops at LENGTH. What it leaves unsplit are the classes of equal windows.
@@ -20,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import forget, sliced, stored
+from quire.llm.common import forget, shielded, sliced, stored
 
 LENGTH, GRAM = 100, 32
 #: Windows that one pass over a batch's bytes reads; their positions take POSITION_BITS of a key.
@@ -434,9 +435,12 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bucket_rows:
 
 def deduped(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """docs with the repeated bytes taken out of text (a null text stays null). A character of which only some
-    bytes are repeated goes whole."""
+    bytes are repeated goes whole. Null ids come before all others, texts of any length are read whole, rows that
+    repeat a doc_id and its text stay and are cut alike, an empty table gives no rows, and extra columns stay,
+    whatever their names."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    docs, names = shielded(docs, ["doc_id", "text"])
     others = [c for c in docs.columns if c != "text"]
     marked = docs.withColumn("_null", F.col("text").isNull())
     target = to_arrow_schema(docs.schema)
@@ -446,4 +450,4 @@ def deduped(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bucket_rows
             left = [None if null else x[0].decode(errors="ignore") for x, null in zip(cut_column(batch), batch["_null"].to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(left, f.type) if f.name == "text" else batch[f.name] for f in target], names=target.names)
 
-    return with_spans(marked, [*others, "_null"], spans(docs, length, gram, bucket_rows)).mapInArrow(run, docs.schema)
+    return with_spans(marked, [*others, "_null"], spans(docs, length, gram, bucket_rows)).mapInArrow(run, docs.schema).toDF(*names)
