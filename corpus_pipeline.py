@@ -18,9 +18,7 @@ from quire.sources.readers import spread, tables
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that was learned, with lang as predicted; texts that are null or without a letter go."""
-    model = language.learn(docs.where(~language.held_out(docs["doc_id"])))
-    found = language.identify(docs, model, [c for c in docs.columns if c != "lang"])
-    return found.where(found["lang_pred"] != language.UNKNOWN).withColumnRenamed("lang_pred", "lang").select(*docs.columns)
+    return language.relabelled(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
