@@ -5,6 +5,7 @@ from collections import Counter
 import duckdb
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
 from quire.llm import language, mixing, packing
@@ -31,6 +32,34 @@ def test_names_and_columns(spark, docs):
         assert stage(spark, docs, "").columns == COLUMNS
 
 
+def inner_names():
+    """Every name that a module of the stages uses for a column, as far as quoted words tell."""
+    import inspect
+    import re
+
+    from quire.llm import common, packing, simhash, suffix
+
+    words = set()
+    for m in (common, language, mixing, packing, simhash, suffix):
+        source = inspect.getsource(m)
+        words |= set(re.findall(r"[\"'`]([A-Za-z_][A-Za-z_0-9]*)[\"'`]", source)) | set(re.findall(r"\b([a-z_]+) (?:long|int|binary|string|double|boolean)\b", source))
+    return sorted({w.lower() for w in words} - set(COLUMNS))
+
+
+@pytest.mark.parametrize("stage", range(4))
+def test_stages_with_clashing_names(spark, stage):
+    _, df = documents(spark, 40, repeat=True)
+    df = df.select(*COLUMNS)
+    names = inner_names()
+    assert {"score", "lang_pred", "_id", "doc", "tie", "gone", "_null", "full", "cut_key", "_lang"} <= set(names)
+    extra = df.select(*COLUMNS, *(F.lit(i).alias(n) for i, n in enumerate(names)))
+    got = pipeline.STAGES[stage][1](spark, extra, "")
+    assert got.columns == extra.columns
+    plain = pipeline.STAGES[stage][1](spark, df, "")
+    assert rows(got) == rows(plain)
+    assert all(r[n] == i for r in got.select(*names).distinct().collect() for i, n in enumerate(names))
+
+
 def test_language_stage(spark, docs):
     got = rows(pipeline.language_id(spark, docs, ""))
     want = Counter((r["doc_id"], r["text"], r["source"]) for r in docs.collect() if language.has_letter(r["text"]))
