@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +48,8 @@ CELLS = 1 << 20
 PIECE = 1 << 14
 #: Shingles known to be common, at most, and the texts that they are counted in.
 COMMON, COMMON_TEXTS = 1 << 16, 1 << 13
+#: 64-bit words of a text's parities: bit i tells whether an odd number of its shingles has hash i.
+PARITY_WORDS = 16
 #: Rare shingles that a bucket is planned for.
 BUCKET_SHINGLES = 1 << 19
 
@@ -327,13 +330,19 @@ def rarest(h: np.ndarray, similarity: float, common: tuple[np.ndarray, np.ndarra
     return h[: len(h) - math.ceil(similarity * len(h) - 1e-9) + 1]
 
 
+def parities(h: np.ndarray) -> bytes:
+    """Of two sets, no more bits differ here than the sets differ in shingles."""
+    odd = np.bincount((h >> np.uint64(20)) % np.uint64(64 * PARITY_WORDS), minlength=64 * PARITY_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
 def wide_fingerprints(docs: DataFrame, keep: list[str], name: str = "fp", similarity: float = SIMILARITY, common: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
-    """The columns in keep, `name` (a hash of the shingles) and wide (the fingerprint's bytes) of every whole text; given common, rare (the hashes of rarest()) and size (how many shingles) too."""
-    schema = schema_of(docs, keep, f"{name} long, wide binary" + (", rare binary, size int" if common else ""))
+    """The columns in keep, `name` (a hash of the shingles) and wide (the fingerprint's bytes) of every whole text; given common, rare (the hashes of rarest()), size (how many shingles) and parity too."""
+    schema = schema_of(docs, keep, f"{name} long, wide binary" + (", rare binary, size int, parity binary" if common else ""))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, wide, rare, sizes = [], [], [], []
+            ids, wide, rare, sizes, parity = [], [], [], [], []
             for x in batch["_text"]:
                 hashes = shingle_hashes(x.as_buffer().to_pybytes() if x.is_valid else b"")
                 ids.append(set_id(hashes))
@@ -341,8 +350,9 @@ def wide_fingerprints(docs: DataFrame, keep: list[str], name: str = "fp", simila
                 if common:
                     rare.append(rarest(hashes, similarity, common).tobytes())
                     sizes.append(len(hashes))
-            more = [pa.array(rare, pa.binary()), pa.array(sizes, pa.int32())] if common else []
-            yield pa.RecordBatch.from_arrays([*(batch[c] for c in keep), pa.array(ids, pa.int64()), pa.array(wide, pa.binary()), *more], names=[*keep, name, "wide", *(["rare", "size"] if common else [])])
+                    parity.append(parities(hashes))
+            more = [pa.array(rare, pa.binary()), pa.array(sizes, pa.int32()), pa.array(parity, pa.binary())] if common else []
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in keep), pa.array(ids, pa.int64()), pa.array(wide, pa.binary()), *more], names=[*keep, name, "wide", *(["rare", "size", "parity"] if common else [])])
 
     return docs.select(*keep, F.col("text").cast("binary").alias("_text")).mapInArrow(run, schema)
 
@@ -534,7 +544,9 @@ def confirmed(docs: DataFrame, nodes: DataFrame, edges: DataFrame, similarity: f
             b.append(ids[run[label[moved]]])
         return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
 
-    return dealt.groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+    out = stored(dealt.groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long").distinct())
+    forget(rows)
+    return out
 
 
 def rest(docs: DataFrame, nodes: DataFrame, links_of: DataFrame, shared: DataFrame, similarity: float) -> DataFrame:
@@ -542,20 +554,29 @@ def rest(docs: DataFrame, nodes: DataFrame, links_of: DataFrame, shared: DataFra
 
     Each shares rare shingles, and how many at least follows from the sizes: where the order of rarest()
     passes the end of one set's rare shingles first, all that both have so far is rare in both, and at most
-    the others of that set are to come. So only pairs that may hold have their texts read.
+    the others of that set are to come. The sets' parities differ in no more bits than such sets in shingles,
+    which tells nearly all other texts of a family apart before a pair is made. Of those that share a shingle,
+    the largest component meets the others but not itself. So only pairs that may hold have their texts read.
     """
     roots = components(links_of)
     places = nodes.select("fp", "size").join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "size", F.coalesce("root", "fp").alias("root"))
     at = stored(shared.join(places, "fp"))
     # a family that is joined already meets nobody
-    several = at.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("h")
-    met = stored(at.join(several, "h", "left_semi"))
-    a, b = (met.select("h", *(F.col(c).alias(f"{c}_{x}") for c in ("fp", "size", "root"))) for x in "ab")
+    by_root = at.groupBy("h", "root").agg(F.count(F.lit(1)).alias("n"))
+    several = by_root.groupBy("h").agg(F.count(F.lit(1)).alias("roots"), F.max(F.struct("n", "root")).alias("m")).where("roots > 1").select("h", F.col("m.root").alias("main"))
+    words = [f"p{i}" for i in range(PARITY_WORDS)]
+    word = lambda i: F.conv(F.hex(F.substring("parity", 8 * i + 1, 8)), 16, -10).cast("long")
+    parity = nodes.select("fp", *(word(i).alias(w) for i, w in enumerate(words)))
+    met = stored(at.join(several, "h").join(parity, "fp"))
+    a, b = (met.select("h", "main", *(F.col(c).alias(f"{c}_{x}") for c in ("fp", "size", "root", *words))) for x in "ab")
     large, small = F.greatest("size_a", "size_b"), F.least("size_a", "size_b")
-    near = (F.col("fp_a") < F.col("fp_b")) & (F.col("root_a") != F.col("root_b")) & (small + 1e-6 >= similarity * large)
-    both = a.join(b, "h").where(near).groupBy("fp_a", "fp_b", "size_a", "size_b").agg(F.count(F.lit(1)).alias("n"))
-    least = F.ceil(similarity / (1 + similarity) * (large + small) - 1e-6) - F.ceil(similarity * large - 1e-6) + 1
-    pairs = stored(both.where(F.col("n") >= least).select("fp_a", "fp_b"))
+    shares = F.ceil(similarity / (1 + similarity) * (large + small) - 1e-6)  # at the similarity, so many at least
+    differ = reduce(lambda x, y: x + y, (F.bit_count(F.col(f"{w}_a").bitwiseXOR(F.col(f"{w}_b"))) for w in words))
+    others = (F.col("root_a") != F.col("root_b")) & ((F.col("root_b") == F.col("main")) | (F.col("fp_a") < F.col("fp_b")))
+    near = others & (small + 1e-6 >= similarity * large) & (differ <= large + small - 2 * shares)
+    both = a.where("root_a <> main").join(b.drop("main"), "h").where(near).groupBy(F.least("fp_a", "fp_b").alias("fp_a"), F.greatest("fp_a", "fp_b").alias("fp_b"), large.alias("large"), small.alias("small")).agg(F.count(F.lit(1)).alias("n"))
+    least = F.ceil(similarity / (1 + similarity) * (F.col("large") + F.col("small")) - 1e-6) - F.ceil(similarity * F.col("large") - 1e-6) + 1
+    pairs = found = stored(both.where(F.col("n") >= least).select("fp_a", "fp_b"))
     ends = pairs.select(F.col("fp_a").alias("fp")).union(pairs.select(F.col("fp_b").alias("fp"))).distinct()
     sets_of = shingle_sets(docs, nodes, ends.select("fp", F.lit(0).cast("long").alias("root")))
     for x in "ab":
@@ -567,7 +588,10 @@ def rest(docs: DataFrame, nodes: DataFrame, links_of: DataFrame, shared: DataFra
             holds = pa.array([jaccard(p, q, similarity) >= similarity for p, q in zip(*sets, strict=True)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch["fp_a"].filter(holds), batch["fp_b"].filter(holds)], names=["a", "b"])
 
-    return pairs.mapInArrow(hold, "a long, b long")
+    out = stored(pairs.mapInArrow(hold, "a long, b long"))
+    for written in (at, met, found, sets_of):
+        forget(written)
+    return out
 
 
 def hex_of(fp: str) -> Column:
@@ -599,10 +623,10 @@ def one_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     keyed = docs.withColumn("_key", text_key(F.col("text").cast("binary")))
     marked = stored(wide_fingerprints(keyed, ["doc_id", "_key"], similarity=similarity, common=common_shingles(docs)))
     least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_key")).alias("least")
-    nodes = stored(marked.groupBy("fp").agg(least, F.first("wide").alias("wide"), F.first("size").alias("size")).select("fp", F.col("least.doc_id").alias("first"), F.col("least._key").alias("key"), "wide", "size"))
+    nodes = stored(marked.groupBy("fp").agg(least, F.first("wide").alias("wide"), F.first("size").alias("size"), F.first("parity").alias("parity")).select("fp", F.col("least.doc_id").alias("first"), F.col("least._key").alias("key"), "wide", "size", "parity"))
     shared = stored(shared_shingles(marked))
-    links_of = stored(confirmed(docs, nodes, wide_links(nodes, nodes.count(), similarity), similarity))
-    more = stored(rest(docs, nodes, links_of, shared, similarity))
+    links_of = confirmed(docs, nodes, wide_links(nodes, nodes.count(), similarity), similarity)
+    more = rest(docs, nodes, links_of, shared, similarity)
     components_of = grouped(nodes.select("fp", "first"), links_of.unionByName(more))
     stays = stored(marked.select("doc_id", "fp").join(components_of, "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id", "fp").agg(F.count(F.lit(1)).alias("n")))
     for written in (marked, nodes, shared, links_of, more):

@@ -258,3 +258,28 @@ def test_rarest_shingles_meet():
         common = np.sort(rng.choice(a, len(a) // 2, replace=False)), rng.integers(1, 9, len(a) // 2)
         if simhash.jaccard(a, b) >= 0.8:
             assert set(simhash.rarest(a, 0.8, common)) & set(simhash.rarest(b, 0.8, common))
+
+
+def test_parities_differ_no_more_than_the_sets():
+    rng = np.random.default_rng(6)
+    for n, other in ((5, 5), (300, 40), (3000, 900), (0, 3)):
+        a = np.unique(rng.integers(0, 1 << 63, n, np.uint64))
+        b = np.unique(np.concatenate([a[: len(a) // 2], rng.integers(0, 1 << 63, other, np.uint64)]))
+        bits = [int.from_bytes(simhash.parities(x)) for x in (a, b)]
+        assert (bits[0] ^ bits[1]).bit_count() <= len(np.setxor1d(a, b)) and len(simhash.parities(a)) == 8 * simhash.PARITY_WORDS
+        assert simhash.parities(a) == simhash.parities(a[::-1])
+
+
+def test_a_family_with_members_on_both_sides_of_the_similarity(spark):
+    """Copies of one text with so many edits that pairs lie around 0.8: the components are those of exact counts."""
+    rng = random.Random(12)
+    text = " ".join(f"w{i}" for i in range(120))
+    rows = list(enumerate(edited(rng, text, share) for share in [0.008, 0.016, 0.025, 0.033] * 15))
+    want = list(range(len(rows)))
+    for i, a in rows:
+        for j, b in rows[:i]:
+            if want[i] != want[j] and jaccard(a, b) >= 0.8:
+                want = [want[j] if w == want[i] else w for w in want]
+    assert 1 < len(set(want)) < len(rows)
+    kept = simhash.one_each(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(min(j for j in range(len(rows)) if want[j] == w) for w in set(want))
