@@ -17,8 +17,17 @@ LABELS = {
 }
 #: Report types by the first pattern that a title has.
 REPORT_TYPES = [("visit", r"\b(visit|mission)\b"), ("follow_up", r"\bfollow.?up\b"), ("thematic", r"\b(study|report) on\b"), ("annual", r"\b(annual|report)\b")]
-#: Outcomes by the first pattern that a title or else a text's end has.
-OUTCOMES = [("inadmissible", r"\binadmissib|\bdiscontinu"), ("violation", r"\bdiscloses? a violation|\bviolations? of\b"), ("no_violation", r"\bno violation\b|\bnot disclose a violation")]
+#: Outcomes by the first pattern that a title or else a text's end has, in lower case. Negations come first: they hold the words of what they deny.
+OUTCOMES = [
+    ("no_violation", r"\bno (?:[a-z]+ )?violations?\b|\b(?:do|does|did) not (?:disclose|reveal|show|constitute|amount to) (?:a |any )?(?:[a-z]+ )?violations?\b|\bnon.violation\b"),
+    ("inadmissible", r"\binadmissib|\bnot admissible\b"),
+    ("discontinued", r"\bdiscontinu|\bstruck off\b"),
+    ("violation", r"\bviolations?\b"),
+    ("admissible", r"\badmissib"),
+]
+#: How opinions of single members begin, after a decision; of use only in a text's later part.
+OPINIONS = r"(?:individual|separate|dissenting|concurring|joint) opinions? "
+OPINIONS_FROM = 0.6
 OUTCOME_TAIL = 22_000
 
 
@@ -37,10 +46,25 @@ def auto_labels(human: Column, folded: Column, table: dict[str, list[str]] = LAB
     return F.when(F.coalesce(F.size(human), F.lit(0)) > 0, human).otherwise(labels(folded, table))
 
 
+def without_opinions(text: Column) -> Column:
+    """Text up to the first opinion that begins after OPINIONS_FROM of it."""
+    start = F.floor(F.length(text) * OPINIONS_FROM).cast("int")
+    at = F.regexp_instr(F.substr(text, start + 1), F.lit(f"(?i){OPINIONS}"))
+    return F.when(at > 0, F.substr(text, F.lit(1), start + at - 1)).otherwise(text)
+
+
 def outcome(title: Column, body: Column, table: list[tuple[str, str]] = OUTCOMES) -> Column:
-    """By the title; if that says nothing, by the body's last OUTCOME_TAIL characters."""
+    """By the title; if that says nothing, by the last OUTCOME_TAIL characters of the body without trailing opinions."""
+    body = without_opinions(body)
     tail = F.substr(body, F.greatest(F.lit(1), F.length(body) - OUTCOME_TAIL + 1))
-    return F.coalesce(first_rule(title, table), first_rule(tail, table), F.lit("unknown"))
+    return F.coalesce(first_rule(F.lower(title), table), first_rule(F.lower(tail), table), F.lit("unknown"))
+
+
+def keyword_labels(text: Column, table: dict[str, list[str]]) -> Column:
+    """Sorted labels of which any keyword stands in the lower-cased text, padded with spaces: the older annotator, without patterns."""
+    padded = F.concat(F.lit(" "), F.lower(text), F.lit(" "))
+    hits = [F.when(reduce(lambda a, b: a | b, [F.contains(padded, F.lit(f" {w} ")) for w in words]), F.lit(name)) for name, words in sorted(table.items())]
+    return F.array_compact(F.array(*hits))
 
 
 def corrected(text: Column, table: list[tuple[str, str]]) -> tuple[Column, Column]:

@@ -3,24 +3,51 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Accented letters and what they fold to; lower case, as folding lowers first.
-ACCENTED = "àáâãäåāăąçćčďèéêëēėęěìíîïīįľĺłñńňòóôõöøōőŕřśšťùúûüūůűųýÿźžż"
-PLAIN = "aaaaaaaaacccdeeeeeeeeiiiiiilllnnnoooooooorrsstuuuuuuuuyyzzz"
+MARKS = "".join(map(chr, range(0x300, 0x370)))
+
+
+def _base_letters() -> dict[str, str]:
+    """Lower-case characters whose canonical decomposition is one character and marks of U+0300 to U+036F, and that character."""
+    out = {}
+    for c in map(chr, range(0x80, 0x10000)):
+        parts = unicodedata.normalize("NFD", c)
+        if len(parts) > 1 and c == c.lower() and all(m in MARKS for m in parts[1:]):
+            out[c] = parts[0]
+    return out
+
+
+#: By rule from Unicode, not a list: all letters of the scripts that have accents.
+BASE = _base_letters()
+#: What folding translates: letters with accents to their base, marks of their own to nothing.
+ACCENTED, PLAIN = "".join(BASE) + MARKS, "".join(BASE.values())
 
 
 def fold(text: Column) -> Column:
-    """Lower case without diacritics, so that word boundaries and substring tests ignore both. ASCII texts skip the translation."""
+    """Lower case without diacritics, composed or not, so that word boundaries and substring tests ignore both. ASCII texts skip the translation."""
     low = F.lower(text)
     return F.when(F.octet_length(text) == F.length(text), low).otherwise(F.translate(low, ACCENTED, PLAIN))
 
 
 def fold_literal(text: str) -> str:
-    return text.lower().translate(str.maketrans(ACCENTED, PLAIN))
+    return text.lower().translate(BASE_TABLE)
+
+
+BASE_TABLE = str.maketrans(BASE) | {ord(m): None for m in MARKS}
+
+
+def accent_pattern(term: str) -> str:
+    """A regex (for use without regard to case) of a term with or without accents, composed or not, in unfolded text."""
+    plain, out = fold_literal(term), []
+    for c in plain:
+        accented = "".join(k for k, v in BASE.items() if v == c)
+        out.append((f"[{c}{accented}]" if accented else re.escape(c)) + ("[\u0300-\u036f]*" if c.isalpha() else ""))
+    return "".join(out)
 
 
 def slugify(text: Column, width: int = 64) -> Column:
@@ -87,11 +114,16 @@ def cite_key(*parts: Column) -> Column:
 
 
 def highlight(text: Column, terms: list[str], mark: str = "mark") -> Column:
-    """Terms wrapped in a tag, case kept, the longest first where one begins another."""
+    """Terms wrapped in a tag, case and accents kept, the longest first where one begins another. Tags and their attributes are left alone."""
     if not terms:
         return text
-    pattern = "|".join(re.escape(t) for t in sorted(set(terms), key=lambda t: (-len(t), t)))
-    return F.regexp_replace(text, f"(?i)({pattern})", f"<{mark}>$1</{mark}>")
+    pattern = "|".join(accent_pattern(t) for t in sorted(set(terms), key=lambda t: (-len(t), t)))
+    return F.regexp_replace(text, f"(?iu)({pattern})(?![^<>]*>)", f"<{mark}>$1</{mark}>")
+
+
+def first_place(text: Column, term: str) -> Column:
+    """Where a term first stands in unfolded text, from 1, whatever the accents; 0 if nowhere."""
+    return F.regexp_instr(text, F.lit(f"(?iu){accent_pattern(term)}"))
 
 
 def dehyphenate(text: Column) -> Column:
@@ -208,3 +240,90 @@ def clean_list(text: Column, separators: str = r"[;,\n]") -> Column:
 def symbol_key(text: Column) -> Column:
     """A document symbol for comparison: upper case, without spaces and final stops."""
     return F.regexp_replace(F.upper(F.regexp_replace(text, r"\s+", "")), r"\.+$", "")
+
+
+def note_map(notes: Column) -> Column:
+    """Footnotes array<struct<n, text>> as a map by number; of a number that comes twice, the first."""
+    first = F.filter(notes, lambda x, i: F.array_position(F.transform(notes, lambda y: y["n"]), x["n"]) == i + 1)
+    return F.map_from_entries(first)
+
+
+def notes_of(text: Column, notes: Column) -> Column:
+    """The texts of the footnotes that a text's [[fn:N]] marks name, in order of first appearance; numbers without a note are left out."""
+    numbers = F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(r"\[\[fn:(\d{1,6})\]\]"), F.lit(1)), lambda x: x.cast("int")))
+    known = note_map(notes)
+    return F.array_compact(F.transform(numbers, lambda n: F.try_element_at(known, n)))
+
+
+#: Titles that say nothing; lower case.
+PLACEHOLDERS = ("", "untitled", "n/a", "na", "none", "null", "unknown", "-", "tbd")
+
+
+def public_title(titles: list[Column], symbol: Column, country: Column) -> Column:
+    """The first title that isn't empty or a placeholder, else the symbol and the country."""
+    real = [F.when(~F.lower(F.trim(t)).isin(*PLACEHOLDERS), t) for t in titles]
+    return F.coalesce(*real, F.concat_ws(" · ", F.nullif(symbol, F.lit("")), F.nullif(country, F.lit(""))))
+
+
+def _first_words(text: Column, most: int) -> Column:
+    words = F.split(F.trim(text), r"\s+")
+    return F.when(F.size(words) > most, F.concat(F.array_join(F.slice(words, 1, most), " "), F.lit("…"))).otherwise(F.trim(text))
+
+
+def mandate_label(mandate: Column) -> Column:
+    """What a rapporteur reports on, in four words; of other mandates, the first three words."""
+    on = F.regexp_extract(mandate, r"(?i)Rapporteur on (?:the )?(.+)$", 1)
+    # only the first `of` or `and` becomes a sign
+    topic = F.trim(F.regexp_replace(on, r"(?is)^(.*?)\s+(?:of|and)\s+(.*)$", r"$1 & $2"))
+    return F.when(on != "", _first_words(topic, 4)).otherwise(_first_words(mandate, 3))
+
+
+def headline(kind: Column, title: Column, body: Column, symbol: Column, country: Column, mandate: Column) -> Column:
+    """A document's line by its type: body and title; treaty, symbol, country and title; mandate and title."""
+    some = lambda c: F.nullif(c, F.lit(""))
+    case = F.concat_ws(" · ", some(body), some(symbol), some(country))
+    return F.when(kind == "gc", F.concat_ws(" · ", some(body), title)).when(kind == "jur", F.when(F.coalesce(title, F.lit("")).isin("", symbol), case).otherwise(F.concat(case, F.lit(" — "), title))).when(kind == "sp", F.concat_ws(" · ", some(mandate_label(F.coalesce(mandate, F.lit("")))), title)).otherwise(title)
+
+
+def list_breaks(text: Column) -> Column:
+    """A line break before each lettered item that follows a semicolon."""
+    return F.regexp_replace(text, r";\s*(?=\([a-z]{1,3}\))", ";<br>")
+
+
+def session_of(text: Column) -> Column:
+    """The number of a session: `sixty` words aside, digits with an ordinal before `session`."""
+    return F.regexp_extract(text, r"(?i)\b(\d{1,3})(?:st|nd|rd|th)?\s+session\b", 1).try_cast("int")
+
+
+def symbol_of_url(url: Column) -> Column:
+    """The document symbol in a url's query, decoded; null if there is none."""
+    return F.nullif(F.upper(F.trim(F.try_url_decode(F.regexp_extract(url, r"(?i)[?&](?:symbolno|symbol|ds)=([^&#]+)", 1)))), F.lit(""))
+
+
+def year_from(*texts: Column) -> Column:
+    """The year of the first of several texts that has one."""
+    return F.coalesce(*(year_of(t) for t in texts))
+
+
+def is_date_marker(text: Column) -> Column:
+    """A dotted number that is a date (`12.03.1998`), not a paragraph's id."""
+    return F.trim(text).rlike(r"^(?:0?[1-9]|[12]\d|3[01])\.(?:0?[1-9]|1[0-2])\.(?:19|20)\d{2}\.?$")
+
+
+def marker_action(before: Column, now: Column) -> Column:
+    """What an id does to the sequence, of two dotted_key() arrays: next, child, sibling_up, jump or none."""
+    same = F.slice(before, 1, F.size(now)) == now
+    last = lambda k: F.element_at(k, -1)
+    parents = (F.size(before) == F.size(now)) & (F.slice(before, 1, F.greatest(F.size(before) - 1, F.lit(0))) == F.slice(now, 1, F.greatest(F.size(now) - 1, F.lit(0))))
+    child = (F.size(now) == F.size(before) + 1) & (F.slice(now, 1, F.size(before)) == before) & (last(now) == 1)
+    up = (F.size(now) < F.size(before)) & (last(now) == F.element_at(before, F.greatest(F.size(now), F.lit(1))) + 1)
+    return F.when(before.isNull() | now.isNull(), "none").when(parents & (last(now) == last(before) + 1), "next").when(child, "child").when(up, "sibling_up").when(same, "repeat").otherwise("jump")
+
+
+def bigrams(words: Column) -> Column:
+    """Neighbouring words of an array, joined by a space."""
+    return F.zip_with(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b))
+
+
+def time_slug(at: Column) -> Column:
+    return F.date_format(at, "yyyy-MM-dd-HHmm")

@@ -8,14 +8,41 @@ from pyspark.sql import functions as F
 from quire.functions.text import short_digest, slugify
 
 
-def paragraphs(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """key, idx, body and the kept columns: a row for each line that isn't blank, numbered from 1 without gaps.
+def paragraphs(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: list[str] | None = None, preamble: bool = False) -> DataFrame:
+    """key, idx, body and the kept columns: a row for each line that isn't blank, numbered from 1 without gaps; with preamble, the first line too.
 
     A generator over the split text: no shuffle and no window, whatever the length of a document.
     """
     lines = F.filter(F.split(text, "\n", -1), lambda x: F.trim(x) != "")
-    rows = docs.select(key, *(keep or []), F.posexplode(lines).alias("pos", "body"))
-    return rows.select(key, (F.col("pos") + 1).alias("idx"), *(keep or []), "body")
+    first = [F.get(lines, 0).alias("preamble")] if preamble else []
+    rows = docs.select(key, *(keep or []), *first, F.posexplode(lines).alias("pos", "body"))
+    return rows.select(key, (F.col("pos") + 1).alias("idx"), *(keep or []), *(["preamble"] if preamble else []), "body")
+
+
+def without_repeated_preamble(paras: DataFrame) -> DataFrame:
+    """Paragraphs but those that repeat their document's first; within the row, so nothing is joined or shuffled."""
+    return paras.where((F.col("idx") == 1) | (F.col("body") != F.col("preamble")))
+
+
+def hide_preambles(paras: DataFrame, hidden: bool) -> DataFrame:
+    """Without preambles if they are toggled off."""
+    return paras.where(F.col("idx") > 1) if hidden else paras
+
+
+def is_noise(text: Column, least: int = 40) -> Column:
+    """Page headers, bare numbers, month and year crumbs, and lines under `least` characters."""
+    return F.trim(text).rlike("^(Page [0-9]+|[0-9]+|[A-Za-z]+ [0-9]{4})$") | (F.length(text) < least)
+
+
+def date_key(text: Column, year: Column) -> Column:
+    """The parsed date, else the first of January of the year, else the epoch."""
+    return F.coalesce(F.try_to_date(text, "d MMMM yyyy"), F.make_date(year, F.lit(1), F.lit(1)), F.lit("1970-01-01").cast("date"))
+
+
+def footnote_stats(paras: DataFrame, keys: list[str], notes: Column) -> DataFrame:
+    """Paragraphs, those with footnotes, and footnotes."""
+    n = F.coalesce(F.size(notes), F.lit(0))
+    return paras.groupBy(*keys).agg(F.count(F.lit(1)).alias("paragraphs"), F.sum((n > 0).cast("long")).alias("with_notes"), F.sum(n.cast("long")).alias("notes"))
 
 
 def paragraph_id(key: Column, idx: Column) -> Column:
@@ -47,7 +74,7 @@ def document_rollup(paras: DataFrame, key: str, body: Column, labels: Column) ->
 
 
 def manifest_row(docs: DataFrame, paras: DataFrame, kind: str) -> DataFrame:
-    """One row of counts: documents, paragraphs and those of each kind as a map."""
+    """One row of counts: documents, paragraphs and those of each kind as a map, and how many kinds and sources there are."""
     kinds = paras.groupBy(kind).agg(F.count(F.lit(1)).alias("n"))
     by = kinds.agg(F.sum("n").cast("long").alias("paragraphs"), F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct(kind, "n"))))).alias("by_kind"))
-    return docs.agg(F.count(F.lit(1)).alias("documents"), short_digest(F.max(F.col("doc_id").cast("string"))).alias("sha")).join(F.broadcast(by))
+    return docs.agg(F.count(F.lit(1)).alias("documents"), F.countDistinct(kind).alias("kinds"), F.countDistinct("source").alias("sources"), F.min("n_chars").alias("shortest"), F.max("n_chars").alias("longest"), short_digest(F.max(F.col("doc_id").cast("string"))).alias("sha")).join(F.broadcast(by))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -53,3 +53,32 @@ def body_rollup(hits: DataFrame, body: str, key: str) -> DataFrame:
 def breakdown(df: DataFrame, kind: str, kinds: list[str]) -> DataFrame:
     """One row: the total and the count of each kind."""
     return df.agg(F.count(F.lit(1)).alias("total"), *(F.sum((F.col(kind) == k).cast("long")).alias(k) for k in kinds))
+
+
+def sorted_merge(*facets: DataFrame) -> DataFrame:
+    """merge() with each value's place in its facet: by count, then by value."""
+    place = F.row_number().over(Window.partitionBy("grain", "facet").orderBy(F.desc("n"), "value"))
+    return merge(*facets).withColumn("place", place)
+
+
+def year_merge(*years: DataFrame) -> DataFrame:
+    """(year, n) of several histograms added up, with the first and last year of all."""
+    rows = reduce(DataFrame.unionByName, years)
+    ends = rows.agg(F.min("year").alias("first"), F.max("year").alias("last"))
+    return rows.groupBy("year").agg(F.sum("n").alias("n")).join(F.broadcast(ends))
+
+
+def matching(counts: DataFrame, text: str) -> DataFrame:
+    """Facet values that hold what was typed."""
+    return counts.where(F.contains(F.lower("value"), F.lit(text.strip().lower())))
+
+
+def totals(hits: DataFrame, body: str, key: str) -> DataFrame:
+    """Per body: hits and documents, with a row for all (null)."""
+    return hits.rollup(body).agg(F.count(F.lit(1)).alias("hits"), F.countDistinct(key).alias("documents"))
+
+
+def cited(refs: DataFrame, signature: str, title: str, position: str) -> DataFrame:
+    """Citations of each signature and the title of the first; of several at one place, the least title."""
+    first = F.min(F.struct(F.col(position).alias("at"), F.col(title).alias("title")))
+    return refs.groupBy(signature).agg(F.count(F.lit(1)).alias("n"), first.alias("f")).select(signature, "n", F.col("f.title").alias("title"))

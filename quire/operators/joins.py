@@ -94,3 +94,27 @@ def nth_occurrence(left: DataFrame, right: DataFrame, keys: list[str], order_lef
     """The n-th row of a key on the left meets the n-th on the right."""
     number = lambda df, o: df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(o)))
     return number(left, order_left).join(number(right, order_right), [*keys, "_n"], "left").withColumnRenamed("_n", "nth")
+
+
+APPROVED = ("1", "true", "yes", "y", "approved", "apply")
+
+
+def approved(value: Column) -> Column:
+    return F.coalesce(F.lower(F.trim(value)).isin(*APPROVED), F.lit(False))
+
+
+def skipped_fixes(rows: DataFrame, fixes: DataFrame, key: str, fields: list[str]) -> DataFrame:
+    """key, field and reason of fixes(key, field, value, approved) that reviewed_fixes() must not apply: the first of
+    not approved, no value, unknown field, unknown key, unchanged."""
+    now = rows.select(key, F.create_map(*(x for f in fields for x in (F.lit(f), F.col(f).cast("string")))).alias("_now"))
+    f = fixes.join(now, key, "left")
+    reason = F.when(~approved(F.col("approved")), "not approved").when(F.coalesce(F.trim("value"), F.lit("")) == "", "no value").when(~F.col("field").isin(*fields), "unknown field").when(F.col("_now").isNull(), "unknown key").when(F.try_element_at("_now", F.col("field")).eqNullSafe(F.col("value")), "unchanged")
+    return f.withColumn("reason", reason).where("reason is not null").select(key, "field", "reason")
+
+
+def main_first(rows: DataFrame, codes: str, dimension: DataFrame, code: str, main: str, name: str) -> DataFrame:
+    """rows with the treaty of one of their codes: a main one before protocols, then by name."""
+    keyed = rows.withColumn("_id", F.monotonically_increasing_id()).select("_id", *rows.columns, F.explode_outer(codes).alias("_code"))
+    met = keyed.join(dimension.select(F.col(code).alias("_code"), F.col(main).alias("_main"), F.col(name).alias("_name")), "_code", "left")
+    best = F.min(F.when(F.col("_name").isNotNull(), F.struct((~F.col("_main")).alias("p"), F.col("_name").alias("name"))))
+    return met.groupBy("_id", *(c for c in rows.columns if c != codes)).agg(best.alias("b")).select(*(c for c in rows.columns if c != codes), F.col("b.name").alias("treaty"))

@@ -36,3 +36,13 @@ def assemble(words: DataFrame, keys: list[str], order: str, word: Column, out: s
 def warnings(confidence: Column, chars: Column, violations: Column) -> Column:
     found = [(confidence < 60, "low confidence"), (chars < 50, "little text"), (violations > 0, "numbers out of order")]
     return F.array_compact(F.array(*(F.when(c, F.lit(w)) for c, w in found)))
+
+
+def audit(pages: DataFrame, status: str, confidence: Column) -> DataFrame:
+    """Pages and mean confidence of each status."""
+    return pages.groupBy(status).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(confidence), 2).alias("conf"))
+
+
+def review_list(pages: DataFrame, status: str, order: list[str]) -> DataFrame:
+    """What a person should look at, in order."""
+    return pages.where(F.col(status) == "review").select(*order).orderBy(*order)

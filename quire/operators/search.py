@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.functions.text import fold
+from quire.functions.text import fold, symbol_key
 from quire.plans import textql
 
 K1, B, FLOOR = 1.5, 0.75, 0.01
@@ -93,3 +93,50 @@ def page(hits: DataFrame, number: int, size: int, order: list[Column], cap: int
 def footnote_only(tree: textql.Node, body: Column, notes: Column) -> Column:
     """The note matches and the body does not."""
     return textql.test(tree, fold(notes)) & ~textql.test(tree, fold(body))
+
+
+def long_enough(query: str, least: int = 4) -> bool:
+    """Whether a query (or a remark) has the characters that it needs to be run."""
+    return len(query.strip()) >= least
+
+
+def in_document(body: Column, query: str, least: int = 3) -> Column:
+    """Paragraphs to show for a search within a document: all for a query under `least` characters, else those that hold it."""
+    return F.contains(F.lower(body), F.lit(query.strip().lower())) if long_enough(query, least) else F.lit(True)
+
+
+def in_fields(fields: list[Column], terms: str) -> Column:
+    """Every term of a query stands in one of the chosen fields."""
+    hay = F.lower(F.concat_ws(" ", *fields))
+    return reduce(lambda a, b: a & b, (F.contains(hay, F.lit(t)) for t in terms.lower().split()), F.lit(True))
+
+
+def on_topic(fields: list[Column], topics: list[str]) -> Column:
+    """Any topic stands in the fields; without topics, all rows."""
+    hay = F.lower(F.concat_ws(" ", *fields))
+    return reduce(lambda a, b: a | b, (F.contains(hay, F.lit(t.lower())) for t in topics)) if topics else F.lit(True)
+
+
+def symbol_guard(symbol: Column, prefixes: list[str], excluded: list[str]) -> Column:
+    """Symbols under one of the prefixes that are not excluded by name; case and blanks don't count."""
+    key = symbol_key(symbol)
+    return reduce(lambda a, b: a | b, (F.startswith(key, F.lit(p.upper())) for p in prefixes), F.lit(False)) & ~key.isin(*excluded)
+
+
+def order_for(query: str, sort: str, score: Column, date: Column, *ties: Column) -> list[Column]:
+    """Relevance: score, then date; date: date, then score, which an empty query always takes. Then the ties."""
+    by_date = sort == "date" or not textql.tokenize(query)
+    first = [date.desc(), score.desc()] if by_date else [score.desc(), date.desc()]
+    return [*first, *ties]
+
+
+def envelope(hits: DataFrame, query: str, scope: str, number: int, size: int, kind: str, kinds: list[str], order: list[Column], fields: list[str], also: list[str]) -> DataFrame:
+    """One row, as a server answers: query, scope, total, page, page_size, breakdown and hits (JSON), and also_try if there is no hit.
+
+    The hits of one page are gathered, never all.
+    """
+    counts = hits.agg(F.count(F.lit(1)).alias("total"), *(F.coalesce(F.sum((F.col(kind) == k).cast("long")), F.lit(0)).alias(f"k{i}") for i, k in enumerate(kinds)))
+    shown = page(hits, number, size, order).agg(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("rank", *fields))), lambda x: x)).alias("hits"))
+    parts = F.to_json(F.struct(*(F.col(f"k{i}").alias(k) for i, k in enumerate(kinds))))
+    suggestions = F.when(F.col("total") == 0, F.array(*map(F.lit, also)) if also else F.array().cast("array<string>")).otherwise(F.array().cast("array<string>"))
+    return counts.join(shown).select(F.lit(query).alias("query"), F.lit(scope).alias("scope"), "total", F.lit(number).alias("page"), F.lit(size).alias("page_size"), parts.alias("breakdown"), "hits", F.array_join(suggestions, ",").alias("also_try"))

@@ -52,42 +52,47 @@ def densest(hits: DataFrame, keys: list[str], position: str, span: int = 200) ->
     return best.select(*keys, (-F.col("b.p")).alias("start"), F.col("b._n").alias("hits"))
 
 
-def repair_ids(ids: list[str | None], rounds: int = 3) -> list[str | None]:
-    """Dotted ids a.b in which one that breaks the sequence takes the place that its neighbours leave.
+def repair_ids(ids: list[str | None], sections: list[str | None] | None = None, rounds: int = 3) -> list[str | None]:
+    """Dotted ids a.b with those mended that their neighbours in the same section make plain.
 
-    Rows are read in order and changes count at once for the next row, up to three times over.
+    Of three in a row: the first is too high for the other two, which follow each other (4.4, 4.2, 4.3); the
+    second is below the first, and they leave one place (3.7, 3.6, 3.9); the second has another parent than
+    the others and just their missing place (5.2, 8.3, 5.4). Rows are read in order, changes count at once,
+    up to three times over. Ids of other shapes, and any that none of this fits, stay.
     """
     def pair(x: str | None) -> tuple[int, int] | None:
         parts = (x or "").rstrip(".").split(".")
         return (int(parts[0]), int(parts[1])) if len(parts) == 2 and all(p.isdigit() for p in parts) else None
 
-    ids = list(ids)
+    ids, sections = list(ids), sections or [None] * len(ids)
+
+    def put(i: int, parent: int, number: int) -> bool:
+        ids[i] = f"{parent}.{number}" + ("." if ids[i].endswith(".") else "")
+        return True
+
     for _ in range(rounds):
         changed = False
-        for i, x in enumerate(ids):
-            now = pair(x)
-            before, after = pair(ids[i - 1]) if i else None, pair(ids[i + 1]) if i + 1 < len(ids) else None
-            want = None
-            if before and after and before[0] == after[0] and after[1] - before[1] == 2:
-                want = (before[0], before[1] + 1)
-            elif not before and now and after and i + 2 < len(ids) and (later := pair(ids[i + 2])) and after[0] == later[0] == now[0] and later[1] == after[1] + 1 and now[1] >= after[1] > 1:
-                want = (after[0], after[1] - 1)
-            if want and want != now:
-                ids[i], changed = f"{want[0]}.{want[1]}", True
+        for i in range(1, len(ids) - 1):
+            first, now, last = pair(ids[i - 1]), pair(ids[i]), pair(ids[i + 1])
+            if None in (first, now, last) or len({s or "" for s in sections[i - 1 : i + 2]}) > 1:
+                continue
+            family = first[0] == last[0]
+            if family and now[0] == first[0] and first[1] > now[1] > 1 and last[1] == now[1] + 1:
+                changed = put(i - 1, now[0], now[1] - 1)
+            elif family and last[1] == first[1] + 2 and (now[1] < first[1] if now[0] == first[0] else now[1] == first[1] + 1):
+                changed = put(i, first[0], first[1] + 1)
         if not changed:
             break
     return ids
 
 
-def repaired(df: DataFrame, key: str, order: str, number: str) -> DataFrame:
+def repaired(df: DataFrame, key: str, order: str, number: str, section: str | None = None) -> DataFrame:
     """key, order, number and fixed: repair_ids over each document, which is one group's rows."""
     kinds = dict(df.dtypes)
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(order)
-        group["fixed"] = repair_ids(group[number].tolist())
+        group["fixed"] = repair_ids(group[number].tolist(), group[section].tolist() if section else None)
         return group[[key, order, number, "fixed"]]
 
-    return df.select(key, order, number).groupBy(key).applyInPandas(run, f"{key} {kinds[key]}, {order} {kinds[order]}, {number} string, fixed string")
-
-
+    return df.select(key, order, number, *([section] if section else [])).groupBy(key).applyInPandas(run, f"{key} {kinds[key]}, {order} {kinds[order]}, {number} string, fixed string")

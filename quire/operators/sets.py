@@ -28,3 +28,8 @@ def vocabulary(df: DataFrame, text: Column, separator: str, out: str) -> DataFra
 
 def id_union(*ids: DataFrame) -> DataFrame:
     return reduce(DataFrame.union, ids).distinct()
+
+
+def stop_words(spark, *lists: list[str]) -> DataFrame:
+    """word: the union of several stop lists, folded to lower case."""
+    return spark.createDataFrame([(w,) for words in lists for w in words], "word string").select(F.lower(F.trim("word")).alias("word")).where("word <> ''").distinct()

@@ -19,7 +19,11 @@ from pyspark.sql import functions as F
 
 from quire.functions.text import fold_literal, occurrences
 
-TOKEN = re.compile(r'\s*(?:"([^"]*)(?:"|$)|([()&|])|([-!])(?=[^\s()&|])|([^\s()&|"]+))')
+TOKEN = re.compile(r'\s*(?:"([^"]*)(?:"|$)|([()])|([-!])(?=[^\s()])|([^\s()]+))')
+
+
+#: Words that are operators; inside a word (AT&T) the signs are letters like any other.
+OPERATORS = {"AND": "and", "&": "and", "OR": "or", "|": "or", "NOT": "not"}
 
 
 @dataclass(frozen=True)
@@ -45,11 +49,11 @@ def tokenize(query: str) -> list[tuple[str, str]]:
             if phrase.strip():
                 out.append(("phrase", fold_literal(" ".join(phrase.split()))))
         elif sign:
-            out.append({"(": ("open", ""), ")": ("close", ""), "&": ("and", ""), "|": ("or", "")}[sign])
+            out.append(("open", "") if sign == "(" else ("close", ""))
         elif minus:
             out.append(("not", ""))
-        elif word.upper() in ("AND", "OR", "NOT"):
-            out.append((word.lower(), ""))
+        elif word.upper() in OPERATORS:
+            out.append((OPERATORS[word.upper()], ""))
         elif len(word) > 1 and word.endswith("*"):
             out.append(("prefix", fold_literal(word[:-1])))
         else:

@@ -57,6 +57,12 @@ def preferred_path(spark: SparkSession, paths: list[str]) -> str | None:
     return None
 
 
+def shards(spark: SparkSession, path: str, by: str, keys: list[str] | None = None) -> DataFrame:
+    """Shards that write_shards() wrote: only the folders of these keys are listed and read, in parallel; all without keys."""
+    df = spark.read.parquet(path)
+    return df if keys is None else df.where(F.col(by).cast("string").isin(*keys))
+
+
 def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """One object a line; blank lines are dropped."""
     return spark.read.schema(schema).json(path)

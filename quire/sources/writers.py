@@ -22,9 +22,36 @@ def write_back(df: DataFrame, path: str, by: str) -> None:
     df.repartition(by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """Header, quotes doubled, CRLF."""
-    df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').option("lineSep", "\n").csv(path)
+BOM = "\ufeff"
+
+
+def csv_file(df: DataFrame, order: list[str]) -> DataFrame:
+    """One text: a byte order mark, the header and a line a row, each ended by CRLF. An export is one user's result, of a bounded number of rows."""
+    line = F.struct(*order, csv_lines(df).alias("line"))
+    rows = F.transform(F.array_sort(F.collect_list(line)), lambda x: x["line"])
+    return df.agg(F.concat(F.lit(BOM), F.array_join(F.concat(F.array(F.lit(",".join(df.columns))), rows), "\r\n"), F.lit("\r\n")).alias("text"))
+
+
+def write_csv(df: DataFrame, path: str, order: list[str]) -> None:
+    """csv_file() as one file: mark, header, quotes doubled, CRLF."""
+    csv_file(df, order).coalesce(1).write.mode("overwrite").option("lineSep", "\x00").text(path)
+
+
+def json_file(df: DataFrame, order: list[str], **envelope: str) -> DataFrame:
+    """One JSON text: the envelope's fields, the number of rows and the rows in order. As bounded as csv_file()."""
+    rows = F.array_sort(F.collect_list(F.struct(*order, F.struct(*df.columns).alias("row"))))
+    head = [F.lit(v).alias(k) for k, v in envelope.items()]
+    return df.agg(F.to_json(F.struct(*head, F.count(F.lit(1)).alias("total"), F.transform(rows, lambda x: x["row"]).alias("rows"))).alias("json"))
+
+
+def cached(df: DataFrame, path: str, key: str) -> DataFrame:
+    """df as a table kept under path and its key (a corpus digest, say): read if it is there, else written first. Other keys go."""
+    spark, full = df.sparkSession, f"{path.rstrip('/')}/key={key}"
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{full}/_SUCCESS")
+    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        df.withColumn("key", F.lit(key)).write.mode("overwrite").partitionBy("key").parquet(path)
+        df.limit(0).write.mode("append").parquet(full)
+    return spark.read.schema(df.schema).parquet(full)
 
 
 def append_checked(df: DataFrame, path: str, key: str) -> int:
@@ -40,11 +67,16 @@ def append_checked(df: DataFrame, path: str, key: str) -> int:
     return n
 
 
+#: Hex digits that name a bucket of a manifest: 16 ** DIGITS buckets.
+DIGITS = 3
+
+
 def manifest(df: DataFrame, group: str, row: Column, order: list[str]) -> DataFrame:
-    """group, n, bytes and digest: of each group's rows as lines, hashed by row and then in order, so no group is
-    gathered as text; only its digests are (16 characters a row)."""
-    lines = df.select(group, *order, F.octet_length(row).alias("size"), short_digest(row).alias("d"))
-    agg = lines.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.sum("size").cast("long").alias("bytes"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*order, "d"))), lambda x: x["d"]), "").alias("ds"))
+    """group, n, bytes and digest: rows are hashed, then each bucket of them (by the first digits of their hashes) in
+    order, then the buckets, so a group with a third of all rows is spread over 16 ** DIGITS groups."""
+    lines = df.select(group, *order, F.octet_length(row).alias("size"), short_digest(row).alias("d")).withColumn("bucket", F.substring("d", 1, DIGITS))
+    parts = lines.groupBy(group, "bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("size").cast("long").alias("bytes"), short_digest(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*order, "d"))), lambda x: x["d"]), "")).alias("ds"))
+    agg = parts.groupBy(group).agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("bucket", "ds"))), lambda x: x["ds"]), "").alias("ds"))
     return agg.select(group, "n", "bytes", short_digest(F.col("ds")).alias("digest"))
 
 
