@@ -117,10 +117,13 @@ def report_types(spark, sf_dir):
     return tables(spark, sf_dir, "documents").select("doc_id", rules.first_rule(title, rules.REPORT_TYPES, "other").alias("kind"))
 
 
-@query("SELECT outcome, count(*) AS n FROM (SELECT CASE WHEN doc_id % 4 = 0 THEN 'inadmissible' WHEN doc_id % 4 = 1 THEN 'violation' WHEN doc_id % 4 = 2 AND contains(lower(text), 'worth') THEN 'no_violation' ELSE 'unknown' END AS outcome FROM documents) GROUP BY 1")
+@query("SELECT outcome, count(*) AS n FROM (SELECT CASE WHEN doc_id % 5 = 0 THEN 'inadmissible' WHEN doc_id % 5 = 1 THEN 'violation' WHEN doc_id % 5 = 2 THEN 'no_violation' WHEN doc_id % 5 = 3 THEN CASE WHEN contains(lower(text), 'worth') THEN 'no_violation' ELSE 'discontinued' END ELSE 'unknown' END AS outcome FROM documents) GROUP BY 1")
 def outcome_distribution(spark, sf_dir):
-    title = F.when(F.col("doc_id") % 4 == 0, "declared inadmissible").when(F.col("doc_id") % 4 == 1, "violation of article 7").otherwise("decision")
-    body = F.when((F.col("doc_id") % 4 == 2) & F.contains(F.lower("text"), F.lit("worth")), "the facts show no violation").otherwise("")
+    """Titles and bodies in mixed case; what an opinion at the end says does not count."""
+    title = F.element_at(F.array(*map(F.lit, ["Inadmissible communication", "VIOLATION of article 7", "No violation of article 14", "Decision", "Decision"])), (F.col("doc_id") % 5 + 1).cast("int"))
+    said = F.when(F.contains(F.lower("text"), F.lit("worth")), "The facts before it do NOT disclose a violation of article 7. ").otherwise("The case is Discontinued. ")
+    body = F.when(F.col("doc_id") % 5 == 3, F.concat(F.repeat(F.lit("x "), 200), said)).otherwise(F.repeat(F.lit("x "), 200))
+    body = F.concat(body, F.lit("Dissenting opinion of a member: there was a violation."))
     rows = tables(spark, sf_dir, "documents").select(rules.outcome(title, body).alias("outcome"))
     return rows.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
 
@@ -135,13 +138,8 @@ def html_strip(spark, sf_dir):
     return tables(spark, sf_dir, "pages").select("page_id", strip_html(F.col("html")).alias("text"))
 
 
-@query("SELECT page_id, replace(replace(replace(replace(substr(html, 1, 200), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;') AS escaped FROM pages")
-def html_escape(spark, sf_dir):
-    return tables(spark, sf_dir, "pages").select("page_id", escape_html(F.substring("html", 1, 200)).alias("escaped"))
-
-
 @query("SELECT page_id, replace(replace(replace(replace(html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;') AS escaped FROM pages")
-def html_escape_all(spark, sf_dir):
+def html_escape(spark, sf_dir):
     """Of the whole page."""
     return tables(spark, sf_dir, "pages").select("page_id", escape_html(F.col("html")).alias("escaped"))
 
@@ -202,14 +200,8 @@ def cite_keys(spark, sf_dir):
     return c.select("c_custkey", cite_key(F.col("n_name"), F.col("c_custkey")).alias("key"))
 
 
-@query("SELECT o_custkey AS doc, '@misc{d' || o_custkey || ', title={Customer ' || o_custkey || '}, year={1999}, note={paras. ' || string_agg(DISTINCT o_orderkey::VARCHAR, ', ' ORDER BY lpad(o_orderkey::VARCHAR, 12, '0')) || '}}' AS entry FROM (SELECT o_custkey, o_orderkey FROM orders WHERE o_custkey % 10 = 0 ORDER BY o_orderkey) GROUP BY 1".replace("string_agg(DISTINCT o_orderkey::VARCHAR, ', ' ORDER BY lpad(o_orderkey::VARCHAR, 12, '0'))", "string_agg(o_orderkey::VARCHAR, ', ' ORDER BY o_orderkey)"))
-def bibtex_export(spark, sf_dir):
-    o = tables(spark, sf_dir, "orders").where("o_custkey % 10 = 0").select(F.col("o_custkey").alias("doc"), "o_orderkey")
-    return bibtex(o, "doc", F.concat(F.lit("Customer "), F.col("doc").cast("string")), F.lit(1999), F.col("o_orderkey"))
-
-
 @query("SELECT o_custkey AS doc, '@misc{d' || o_custkey || ', title={Customer ' || o_custkey || '}, year={1999}, note={paras. ' || string_agg(o_orderkey::VARCHAR, ', ' ORDER BY o_orderkey) || '}}' AS entry FROM orders GROUP BY 1")
-def bibtex_export_all(spark, sf_dir):
+def bibtex_export(spark, sf_dir):
     """Of every customer."""
     o = tables(spark, sf_dir, "orders").select(F.col("o_custkey").alias("doc"), "o_orderkey")
     return bibtex(o, "doc", F.concat(F.lit("Customer "), F.col("doc").cast("string")), F.lit(1999), F.col("o_orderkey"))
@@ -230,12 +222,12 @@ def json_export(spark, sf_dir):
     return tables(spark, sf_dir, "region").select("r_regionkey", F.to_json(row).alias("json"))
 
 
-@query("SELECT lang, count(*) AS n, sum(octet_length(encode(text)))::BIGINT AS bytes, substr(sha256(string_agg(substr(sha256(text), 1, 16), '' ORDER BY doc_id)), 1, 16) AS digest FROM documents GROUP BY 1")
+@query("SELECT lang, sum(n)::BIGINT AS n, sum(bytes)::BIGINT AS bytes, substr(sha256(string_agg(ds, '' ORDER BY bucket)), 1, 16) AS digest FROM (SELECT lang, substr(sha256(text), 1, 3) AS bucket, count(*) AS n, sum(octet_length(encode(text)))::BIGINT AS bytes, substr(sha256(string_agg(substr(sha256(text), 1, 16), '' ORDER BY doc_id)), 1, 16) AS ds FROM documents GROUP BY 1, 2) GROUP BY 1")
 def sha_manifest(spark, sf_dir):
     return manifest(tables(spark, sf_dir, "documents"), "lang", F.col("text"), ["doc_id"])
 
 
-@query("SELECT (SELECT count(*) FROM documents) AS documents, (SELECT substr(sha256(max(doc_id::VARCHAR)), 1, 16) FROM documents) AS sha, sum(n)::BIGINT AS paragraphs, '{' || string_agg('\"' || lang || '\":' || n, ',' ORDER BY lang) || '}' AS by_kind FROM (SELECT lang, count(*) AS n FROM paras GROUP BY 1)", paras=True)
+@query("SELECT (SELECT count(*) FROM documents) AS documents, (SELECT count(DISTINCT lang) FROM documents) AS kinds, (SELECT count(DISTINCT source) FROM documents) AS sources, (SELECT min(n_chars) FROM documents) AS shortest, (SELECT max(n_chars) FROM documents) AS longest, (SELECT substr(sha256(max(doc_id::VARCHAR)), 1, 16) FROM documents) AS sha, sum(n)::BIGINT AS paragraphs, '{' || string_agg('\"' || lang || '\":' || n, ',' ORDER BY lang) || '}' AS by_kind FROM (SELECT lang, count(*) AS n FROM paras GROUP BY 1)", paras=True)
 def corpus_manifest(spark, sf_dir):
     return corpus.manifest_row(tables(spark, sf_dir, "documents"), paras(spark, sf_dir), "lang")
 
@@ -246,9 +238,9 @@ def shard_assign(spark, sf_dir):
     return o.select("o_orderkey", rules.shard_of(F.col("o_orderpriority"), F.year("o_orderdate"), {"1-URGENT": 2, "2-HIGH": 5}).alias("shard"))
 
 
-@query("SELECT n_nationkey, lower(n_name) || '-' || lpad(n_nationkey::VARCHAR, 4, '0') AS para, lower(n_name) AS doc FROM nation WHERE NOT contains(n_name, ' ')")
+@query("SELECT n_nationkey, lower(n_name) || '-' || lpad(n_nationkey::VARCHAR, 4, '0') AS para, lower(n_name) AS doc FROM nation")
 def id_to_document(spark, sf_dir):
-    n = tables(spark, sf_dir, "nation").where(~F.contains("n_name", F.lit(" ")))
+    n = tables(spark, sf_dir, "nation")
     para = corpus.paragraph_id(F.lower("n_name"), F.col("n_nationkey"))
     return n.select("n_nationkey", para.alias("para"), doc_id_of(para).alias("doc"))
 
@@ -261,16 +253,8 @@ def scalar_parses(spark, sf_dir):
     return p.select("p_partkey", ordinal(F.col("p_size")).alias("ordinal"), n.alias("n"), year.alias("year"), prettify(F.replace("p_type", F.lit(" "), F.lit("_"))).alias("pretty"))
 
 
-@query("SELECT o_orderkey, array_to_string([o_custkey % 7, o_orderkey % 11, 3], ',') AS key FROM orders ORDER BY o_custkey % 7, o_orderkey % 11, o_orderkey LIMIT 100")
-def dotted_ids(spark, sf_dir):
-    o = tables(spark, sf_dir, "orders")
-    text = F.concat((F.col("o_custkey") % 7).cast("string"), F.lit("."), (F.col("o_orderkey") % 11).cast("string"), F.lit(".3."))
-    keyed = o.select("o_orderkey", dotted_key(text).alias("k")).orderBy("k", "o_orderkey").limit(100)
-    return keyed.select("o_orderkey", F.array_join(F.transform("k", lambda x: x.cast("string")), ",").alias("key"))
-
-
 @query("SELECT o_orderkey, array_to_string([o_custkey % 7, o_orderkey % 11, 3], ',') AS key FROM orders")
-def dotted_ids_all(spark, sf_dir):
+def dotted_ids(spark, sf_dir):
     """Of every order."""
     text = F.concat((F.col("o_custkey") % 7).cast("string"), F.lit("."), (F.col("o_orderkey") % 11).cast("string"), F.lit(".3."))
     key = F.transform(dotted_key(text), lambda x: x.cast("string"))
@@ -305,14 +289,8 @@ def note_markers(spark, sf_dir):
     return tables(spark, sf_dir, "nation").select("n_nationkey", strip_note_markers(raw).alias("clean"))
 
 
-@query("SELECT doc_id, idx, replace(replace(folded, 'tion', 'xion'), 'worth', 'wrth') AS fixed, (floor((length(folded) - length(replace(folded, 'tion', ''))) / 4) + floor((length(replace(folded, 'tion', 'xion')) - length(replace(replace(folded, 'tion', 'xion'), 'worth', ''))) / 5))::INTEGER AS n FROM folded WHERE idx = 1", paras=True)
-def safe_corrections(spark, sf_dir):
-    text, n = rules.corrected(F.col("folded"), [("tion", "xion"), ("worth", "wrth")])
-    return folded_paras(spark, sf_dir).where("idx = 1").select("doc_id", "idx", text.alias("fixed"), n.cast("int").alias("n"))
-
-
 @query("SELECT doc_id, idx, replace(replace(folded, 'tion', 'xion'), 'worth', 'wrth') AS fixed, (len(string_split(folded, 'tion')) + len(string_split(replace(folded, 'tion', 'xion'), 'worth')) - 2)::INTEGER AS n FROM folded", paras=True)
-def safe_corrections_all(spark, sf_dir):
+def safe_corrections(spark, sf_dir):
     """Of every paragraph."""
     text, n = rules.corrected(F.col("folded"), [("tion", "xion"), ("worth", "wrth")])
     return folded_paras(spark, sf_dir).select("doc_id", "idx", text.alias("fixed"), n.cast("int").alias("n"))
@@ -342,11 +320,6 @@ def compact_rows(spark, sf_dir):
     return corpus.compact(n)
 
 
-@query("SELECT doc_id, lang, strip_accents(lower(substr(text, 1, 200))) AS folded FROM documents")
-def fold_prefix(spark, sf_dir):
-    return tables(spark, sf_dir, "documents").select("doc_id", "lang", fold(F.substring("text", 1, 200)).alias("folded"))
-
-
 @query("SELECT doc_id, lang, strip_accents(lower(text)) AS folded FROM documents")
 def fold_text(spark, sf_dir):
     """Of the whole text."""

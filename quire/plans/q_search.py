@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quire.functions.text import fold, highlight, occurrences, sentence_snippet
-from quire.operators import facets, joins, search
+from quire.functions.text import first_place, fold, highlight, occurrences, sentence_snippet
+from quire.operators import corpus, facets, joins, search
 from quire.plans import textql
 from quire.plans.base import folded_paras, paras, query
-from quire.sources.readers import tables
+from quire.sources.readers import spread, tables
 
 FLAGSHIP = '"of the" AND tion NOT worth*'
 
@@ -117,8 +117,7 @@ def date_key(spark, sf_dir):
     o = tables(spark, sf_dir, "orders")
     text = F.when(F.col("o_orderkey") % 3 == 0, F.date_format("o_orderdate", "dd MMMM yyyy")).when(F.col("o_orderkey") % 3 == 1, "undated")
     year = F.when(F.col("o_orderkey") % 5 > 0, F.year("o_orderdate"))
-    day = F.coalesce(F.try_to_date(text, "d MMMM yyyy"), F.make_date(year, F.lit(1), F.lit(1)), F.lit("1970-01-01").cast("date"))
-    return o.groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    return o.groupBy(corpus.date_key(text, year).alias("day")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("SELECT o_orderkey FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 7 > 0 THEN year(o_orderdate) END AS y FROM orders) WHERE y IS NULL OR y BETWEEN 1995 AND 1996")
@@ -165,10 +164,10 @@ def filter_report_type(spark, sf_dir):
     return tables(spark, sf_dir, "documents").where((F.col("lang") != "en") | F.col("source").isin("src1", "src2")).select("doc_id")
 
 
-@query("SELECT p_partkey FROM part WHERE contains(lower(concat_ws(' ', p_name, p_brand, p_type, p_size)), 'steel 1')")
+@query("SELECT p_partkey FROM part WHERE contains(lower(concat_ws(' ', p_name, p_brand, p_type, p_size)), 'widget brand#1')")
 def filter_rail(spark, sf_dir):
     p = tables(spark, sf_dir, "part")
-    return p.where(F.contains(F.lower(F.concat_ws(" ", "p_name", "p_brand", "p_type", F.col("p_size").cast("string"))), F.lit("steel 1"))).select("p_partkey")
+    return p.where(F.contains(F.lower(F.concat_ws(" ", "p_name", "p_brand", "p_type", F.col("p_size").cast("string"))), F.lit("widget brand#1"))).select("p_partkey")
 
 
 @query("SELECT p.doc_id, p.idx FROM paras p WHERE contains(lower(body), 'worth') AND doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)", paras=True)
@@ -179,14 +178,13 @@ def exclude_shown(spark, sf_dir):
 
 @query("SELECT doc_id, idx FROM paras WHERE NOT regexp_matches(trim(body), '^(Page [0-9]+|[0-9]+|[A-Za-z]+ [0-9]{4})$') AND length(body) >= 40", paras=True)
 def noise_filter(spark, sf_dir):
-    return paras(spark, sf_dir).where(~F.trim("body").rlike("^(Page [0-9]+|[0-9]+|[A-Za-z]+ [0-9]{4})$") & (F.length("body") >= 40)).select("doc_id", "idx")
+    return paras(spark, sf_dir).where(~corpus.is_noise(F.col("body"))).select("doc_id", "idx")
 
 
 @query("SELECT p.doc_id, p.idx FROM paras p JOIN paras f ON f.doc_id = p.doc_id AND f.idx = 1 WHERE p.idx = 1 OR p.body <> f.body", paras=True)
 def duplicate_preamble(spark, sf_dir):
-    rows = paras(spark, sf_dir)
-    first = rows.where("idx = 1").select("doc_id", F.col("body").alias("first"))
-    return rows.join(first, "doc_id").where("idx = 1 or body <> first").select("doc_id", "idx")
+    docs = spread(tables(spark, sf_dir, "documents").select("doc_id", "text"))
+    return corpus.without_repeated_preamble(corpus.paragraphs(docs, preamble=True)).select("doc_id", "idx")
 
 
 @query("SELECT facet, value, count(*) AS n FROM (SELECT unnest([{'facet': 'lang', 'value': lang}, {'facet': 'source', 'value': source}, {'facet': 'first', 'value': (idx = 1)::VARCHAR}], recursive := true) FROM paras) GROUP BY ALL", paras=True)
@@ -288,7 +286,7 @@ SNIPPET = r"""SELECT doc_id, idx, CASE WHEN length(body) <= 900 THEN body ELSE C
 
 @query(SNIPPET, paras=True)
 def kwic_snippet(spark, sf_dir):
-    rows = folded_paras(spark, sf_dir).where(F.contains("folded", F.lit("worth"))).withColumn("p", F.instr("folded", "worth"))
+    rows = folded_paras(spark, sf_dir).where(F.contains("folded", F.lit("worth"))).withColumn("p", first_place(F.col("body"), "worth"))
     return rows.select("doc_id", "idx", sentence_snippet(F.col("body"), F.col("p")).alias("snippet"), (F.col("p") >= 500).alias("deep"))
 
 

@@ -43,12 +43,61 @@ def test_occurrences_do_not_overlap(spark):
 
 @pytest.mark.parametrize("ids,want", [
     (["4.4", "4.2", "4.3"], ["4.1", "4.2", "4.3"]), (["3.7", "3.6", "3.9"], ["3.7", "3.8", "3.9"]), (["5.1", "5.2", "8.3", "5.4"], ["5.1", "5.2", "5.3", "5.4"]),
+    (["2.20", "2.11", "2.12"], ["2.10", "2.11", "2.12"]), (["3.7", "3.12", "3.9"], ["3.7", "3.12", "3.9"]), (["1.1", "4.4.", "4.2.", "4.3."], ["1.1", "4.1.", "4.2.", "4.3."]),
     ([], []), ([None, "x"], [None, "x"]), (["1.1", "1.2"], ["1.1", "1.2"]),
 ])
 def test_repaired_ids(ids, want):
     assert sequences.repair_ids(ids) == want
 
 
+def test_repairs_stay_within_a_section():
+    assert sequences.repair_ids(["4.4", "4.2", "4.3"], ["facts", "law", "law"]) == ["4.4", "4.2", "4.3"]
+    assert sequences.repair_ids(["4.4", "4.2", "4.3"], ["law", "law", "law"]) == ["4.1", "4.2", "4.3"]
+
+
+@pytest.mark.parametrize("raw,want", [("Việt Nam", "viet nam"), ("Timișoara", "timisoara"), ("cafe\u0301", "cafe"), ("Ελλάδα", "ελλαδα"), ("Ångström ŁÓDŹ", "angstrom łodz"), ("plain", "plain")])
+def test_folding(spark, raw, want):
+    assert one(spark, text.fold(F.lit(raw))) == want == text.fold_literal(raw)
+
+
+def test_highlights_beside_tags_and_with_any_accent(spark):
+    page = '<a href="the">The</a> Thé cafe\u0301s <b title=the>x</b>'
+    assert one(spark, text.highlight(F.lit(page), ["the", "café"])) == '<a href="the"><mark>The</mark></a> <mark>Thé</mark> <mark>cafe\u0301</mark>s <b title=the>x</b>'
+    assert one(spark, text.first_place(F.lit("e\u0301te\u0301 worth"), "worth")) == 7
+
+
+@pytest.mark.parametrize("title,body,want", [
+    ("No violation of article 14", "", "no_violation"), ("VIOLATION of article 7", "", "violation"), ("Inadmissible communication", "", "inadmissible"),
+    ("x", "The facts before it do not disclose a violation of article 7", "no_violation"), ("x", "y " * 300 + "The case is discontinued. Individual opinion of a member: a violation", "discontinued"),
+    ("x", "Individual opinion on top. " + "y " * 300 + "There was a violation.", "violation"), (None, None, "unknown"),
+])
+def test_outcomes(spark, title, body, want):
+    assert one(spark, rules.outcome(F.lit(title).cast("string"), F.lit(body).cast("string"))) == want
+
+
+def test_operators_are_whole_words():
+    from quire.plans import textql
+
+    assert textql.parse("AT&T") == textql.Node("word", "at&t") and textql.parse("a|b c") == textql.Node("and", parts=(textql.Node("word", "a|b"), textql.Node("word", "c")))
+    assert textql.parse("a & b") == textql.parse("a AND b") and textql.parse('x"y') == textql.Node("word", 'x"y')
+
+
+def test_tables_kept_by_key(spark, tmp_path):
+    path = str(tmp_path / "kept")
+    first = writers.cached(spark.range(3), path, "one")
+    assert first.count() == 3 and writers.cached(spark.range(9), path, "one").count() == 3
+    assert writers.cached(spark.range(9), path, "two").count() == 9
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "b")], "k int, s string")
+    writers.write_shards(df, str(tmp_path / "shards"), ["s"])
+    assert readers.shards(spark, str(tmp_path / "shards"), "s", ["b"]).count() == 2 and readers.shards(spark, str(tmp_path / "shards"), "s").count() == 3
+
+
+def test_titles(spark):
+    assert one(spark, text.mandate_label(F.lit("Special Rapporteur on the situation of human rights in a place"))) == "situation & human rights…"
+    assert one(spark, text.mandate_label(F.lit("Independent Expert on older persons"))) == "Independent Expert on…"
+    assert one(spark, text.public_title([F.lit(" N/A "), F.lit("x")], F.lit("S"), F.lit("C"))) == "x" and one(spark, text.public_title([F.lit("")], F.lit("S"), F.lit(""))) == "S"
+
+
 def test_holders(spark):
     holders = spark.createDataFrame([(1, 2020, "A"), (1, 2023, "B"), (1, 9999, "C")], "m int, u int, h string")
     rows = spark.createDataFrame([(1, 2020), (1, 2021), (1, 2024), (2, 2020)], "m int, y int")
@@ -173,7 +222,7 @@ def test_sinks(spark, tmp_path):
     assert {(r["k"], r["g"]) for r in spark.read.parquet(str(tmp_path / "w")).collect()} == {(9, "a"), (2, "b")}
     writers.write_json(df, str(tmp_path / "j"))
     assert spark.read.json(str(tmp_path / "j")).count() == 2
-    writers.write_csv(df, str(tmp_path / "c"))
+    writers.write_csv(df, str(tmp_path / "c"), df.columns)
     assert readers.csv_table(spark, str(tmp_path / "c")).where("t = 'x,y'").count() == 1
     df.write.parquet(str(tmp_path / "a"))
     assert writers.append_checked(spark.createDataFrame([(2, "b", "n"), (3, "c", "n")], df.schema), str(tmp_path / "a"), "k") == 1
