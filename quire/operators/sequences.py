@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import unicodedata
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,6 +53,13 @@ def densest(hits: DataFrame, keys: list[str], position: str, span: int = 200) ->
     return best.select(*keys, (-F.col("b.p")).alias("start"), F.col("b._n").alias("hits"))
 
 
+#: Parent and number of a dotted id, without zeros before them.
+ID = r"^0*([0-9]+)\.0*([0-9]{1,18})\.*\z"
+#: Digits of all scripts, and what they stand for.
+_DIGITS = [x for x in map(chr, range(0x80, 0x20000)) if x.isdecimal()]
+DECIMALS = "".join(_DIGITS), "".join(str(unicodedata.decimal(x)) for x in _DIGITS)
+
+
 def repair_ids(ids: list[str | None], sections: list[str | None] | None = None, rounds: int = 3) -> list[str | None]:
     """Dotted ids a.b with those mended that their neighbours in the same section make plain.
 
@@ -62,7 +70,7 @@ def repair_ids(ids: list[str | None], sections: list[str | None] | None = None,
     """
     def pair(x: str | None) -> tuple[int, int] | None:
         parts = (x or "").rstrip(".").split(".")
-        return (int(parts[0]), int(parts[1])) if len(parts) == 2 and all(p.isdigit() for p in parts) else None
+        return (int(parts[0]), int(parts[1])) if len(parts) == 2 and all(p.isdecimal() for p in parts) else None
 
     ids, sections = list(ids), sections or [None] * len(ids)
 
@@ -86,13 +94,32 @@ def repair_ids(ids: list[str | None], sections: list[str | None] | None = None,
     return ids
 
 
-def repaired(df: DataFrame, key: str, order: str, number: str, section: str | None = None) -> DataFrame:
-    """key, order, number and fixed: repair_ids over each document, which is one group's rows."""
-    kinds = dict(df.dtypes)
+def repaired(df: DataFrame, key: str, order: str, number: str, section: str | None = None, rounds: int = 3) -> DataFrame:
+    """key, order, number and fixed: what repair_ids makes of each document, by windows, so no row leaves the JVM and no document has to fit in memory.
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(order)
-        group["fixed"] = repair_ids(group[number].tolist(), group[section].tolist() if section else None)
-        return group[[key, order, number, "fixed"]]
+    Within a round only a mended middle row is read again, and at the row after it, which follows it then, nothing fits. So
+    the ids before a round tell all its changes: of middle rows next to each other, each second one stays. Numbers of over 18 digits after the dot stay.
+    """
+    c, w = F.col, Window.partitionBy(key).orderBy(F.col(order).asc_nulls_last())
+    digits = F.when(F.octet_length(number) == F.length(number), c(number)).otherwise(F.translate(number, *DECIMALS))
+    parent, place = F.regexp_extract(digits, ID, 1), F.regexp_extract(digits, ID, 2).try_cast("long")
+    part = F.coalesce(c(section).cast("string"), F.lit("")) if section else F.lit("")
+    rows = df.select(key, order, c(number).cast("string").alias(number), parent.alias("_p"), place.alias("_n"), part.alias("_s"), F.lit(False).alias("_changed"))
+    rows = rows.withColumn("_i", F.row_number().over(w))
+    read = ["_p", "_n", "_s"] if section else ["_p", "_n"]
+
+    def alike(*at: str) -> Column:
+        """Whether three rows in a row are of one section."""
+        return (c(f"_s{at[0]}") == c(f"_s{at[1]}")) & (c(f"_s{at[1]}") == c(f"_s{at[2]}")) if section else F.lit(True)
 
-    return df.select(key, order, number, *([section] if section else [])).groupBy(key).applyInPandas(run, f"{key} {kinds[key]}, {order} {kinds[order]}, {number} string, fixed string")
+    for _ in range(rounds):
+        near = {f"{x}{n}": y.over(w) for x in read for n, y in ((1, F.lag(x)), (2, F.lead(x)), (3, F.lead(x, 2)))}
+        middle = alike("1", "", "2") & (c("_p1") == c("_p2")) & (c("_n2") == c("_n1") + 2) & F.when(c("_p") == c("_p1"), c("_n") < c("_n1")).otherwise(c("_n") == c("_n1") + 1)
+        first = alike("", "2", "3") & (c("_p") == c("_p2")) & (c("_p") == c("_p3")) & (c("_n") > c("_n2")) & (c("_n2") > 1) & (c("_n3") == c("_n2") + 1)
+        rows = rows.withColumns(near).withColumns({"_middle": F.coalesce(middle, F.lit(False)), "_first": F.coalesce(first, F.lit(False))})
+        before = F.max(F.when(~c("_middle"), c("_i"))).over(w.rowsBetween(Window.unboundedPreceding, 0))
+        rows = rows.withColumn("_middle", (c("_i") - before) % 2 == 1)
+        changes = {"_p": F.when(c("_middle"), c("_p1")).when(c("_first"), c("_p2")).otherwise(c("_p")), "_n": F.when(c("_middle"), c("_n1") + 1).when(c("_first"), c("_n2") - 1).otherwise(c("_n")), "_changed": c("_changed") | c("_middle") | c("_first")}
+        rows = rows.withColumns(changes).select(key, order, number, "_p", "_n", "_s", "_changed", "_i")
+    fixed = F.when(c("_changed"), F.concat("_p", F.lit("."), c("_n").cast("string"), F.when(F.endswith(number, F.lit(".")), ".").otherwise(""))).otherwise(c(number))
+    return rows.select(key, order, number, fixed.alias("fixed"))

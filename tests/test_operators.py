@@ -55,6 +55,22 @@ def test_repairs_stay_within_a_section():
     assert sequences.repair_ids(["4.4", "4.2", "4.3"], ["law", "law", "law"]) == ["4.1", "4.2", "4.3"]
 
 
+def test_repairs_of_documents_are_those_of_lists(spark):
+    """Runs of misread parents, three rounds, sections, other shapes and digits: by windows as by repair_ids, without a call of Python for each document."""
+    docs = [
+        ["5.2", "8.3", "5.4", "8.5", "5.6", "8.7", "5.8"], ["4.4", "4.2", "4.3"], ["1.1", "4.4.", "4.2.", "4.3."], ["9.9", "3.8", "3.7", "3.3", "3.4"], ["5.1", "5.2", "8.3", "5.4", "5.9", "5.6"],
+        ["05.01", "8.2..", "5.03"], ["5.1", None, "5.3"], ["5.1", "8.²", "5.3"], ["5.1", "8.2\n", "5.3"], ["٥.١", "٨.٢", "٥.٣"], ["2.1", "x", "", ".", "2.", "2.3.4"], ["0.1", "8.2", "0.3"], ["5.1"],
+    ]
+    docs += [[f"{5 if (d >> i) % 3 else 8}.{(d * 7 + i * i) % 9 if (d >> i) % 4 == 1 else i + 1}" for i in range(9)] for d in range(300)]
+    parts = [[("a", "a", "b", "", None)[(d + i) % 5 if d % 3 else 0] for i in range(len(ids))] for d, ids in enumerate(docs)]
+    rows = spark.createDataFrame([(d, i, x, s) for d, ids in enumerate(docs) for i, (x, s) in enumerate(zip(ids, parts[d], strict=True))], "doc int, place int, number string, part string").repartition(5)
+    for section in (None, "part"):
+        fixed = sequences.repaired(rows, "doc", "place", "number", section)
+        got = {(r["doc"], r["place"]): r["fixed"] for r in fixed.collect()}
+        assert got == {(d, i): x for d, ids in enumerate(docs) for i, x in enumerate(sequences.repair_ids(ids, parts[d] if section else None))}
+        assert "Pandas" not in fixed._jdf.queryExecution().toString()
+
+
 @pytest.mark.parametrize("raw,want", [("Việt Nam", "viet nam"), ("Timișoara", "timisoara"), ("cafe\u0301", "cafe"), ("Ελλάδα", "ελλαδα"), ("Ångström ŁÓDŹ", "angstrom łodz"), ("plain", "plain")])
 def test_folding(spark, raw, want):
     assert one(spark, text.fold(F.lit(raw))) == want == text.fold_literal(raw)
